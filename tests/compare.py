@@ -1,0 +1,45 @@
+"""Run a query in Spark and its SQL in DuckDB and compare the rows in any order."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        if Path(f"{sf_dir}/{name}.parquet").exists():
+            connection.execute(
+                f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
+            )
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
+    return value
+
+
+def rows_by_name(columns: list[str], rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def spark_rows(df) -> tuple[list[str], Counter]:
+    return sorted(df.columns), rows_by_name(df.columns, df.collect())
+
+
+def sql_rows(connection, sql: str) -> tuple[list[str], Counter]:
+    result = connection.execute(sql)
+    columns = [d[0] for d in result.description]
+    return sorted(columns), rows_by_name(columns, result.fetchall())
