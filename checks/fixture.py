@@ -6,7 +6,7 @@ distances and amounts include values each quality rule must reject.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripforge import schemas
@@ -17,51 +17,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _later(seconds: Column) -> Column:
-    return F.col("l_shipdate") + F.make_dt_interval(secs=seconds)
-
-
 def _raw(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    new = F.col("l_returnflag") == "N"
-    lines = lines.filter(new if service == schemas.YELLOW else ~new)
-    copies = F.when(F.col("l_orderkey") % 10 == 0, 2).otherwise(1)
-    lines = lines.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies)))
-
-    start = F.col("l_partkey") * 37 % 86400
-    ride = (F.col("l_orderkey") % 60 - 5) * 60 + F.col("l_partkey") % 60
-    fare = F.floor(F.col("l_extendedprice") / 10)
-    tip = F.floor(fare * (F.col("l_orderkey") % 7) * 7 / 100)
-    tolls = F.col("l_suppkey") % 3 * 200
-    cents = F.lit(100).cast("double")
-    lost = (F.col("l_linenumber") == 5) & (F.col("l_partkey") % 10 == 0)
     pickup, dropoff = schemas.SERVICE_TIMES[service]
-    columns = {
-        "VendorID": (F.col("l_suppkey") % 3).cast("int"),
-        pickup: _later(start),
-        dropoff: _later(start + ride),
-        "store_and_fwd_flag": F.when(F.col("l_linestatus") == "F", "Y").otherwise("N"),
-        "RatecodeID": (F.col("l_orderkey") % 8).cast("int"),
-        "PULocationID": (F.col("l_partkey") % 267).cast("int"),
-        "DOLocationID": ((F.col("l_suppkey") * 7 + F.col("l_linenumber")) % 267).cast("int"),
-        "passenger_count": F.col("l_quantity").cast("int") % 7,
-        "trip_distance": F.when(lost, F.lit(float("nan"))).otherwise(
-            (F.col("l_partkey") * 13 % 2500).cast("double") / cents
-        ),
-        "fare_amount": fare / cents,
-        "extra": F.when(F.col("l_linenumber") == 6, F.lit(-0.5)).otherwise(F.lit(0.5)),
-        "mta_tax": F.lit(0.5),
-        "tip_amount": tip / cents,
-        "tolls_amount": tolls / cents,
-        "improvement_surcharge": F.lit(0.3),
-        "total_amount": (fare + tip + tolls + 130) / cents,
-        "payment_type": ((F.col("l_orderkey") + F.col("l_linenumber")) % 7).cast("int"),
-        "congestion_surcharge": F.when(F.col("l_linenumber") != 7, F.lit(2.5)),
-    }
-    if service == schemas.GREEN:
-        columns["ehail_fee"] = F.lit(None).cast("double")
-        columns["trip_type"] = F.lit(1)
-    return lines.select([value.alias(name) for name, value in columns.items()])
+    extras = ["CAST(NULL AS DOUBLE) AS ehail_fee", "1 AS trip_type"]
+    return (
+        table(spark, sf_dir, "lineitem")
+        .filter("l_returnflag = 'N'" if service == schemas.YELLOW else "l_returnflag <> 'N'")
+        .withColumns(
+            {
+                "copy": F.expr("explode(array_repeat(0, if(l_orderkey % 10 = 0, 2, 1)))"),
+                "start": F.expr("l_partkey * 37 % 86400"),
+                "ride": F.expr("(l_orderkey % 60 - 5) * 60 + l_partkey % 60"),
+                "fare": F.expr("floor(l_extendedprice / 10)"),
+                "tolls": F.expr("l_suppkey % 3 * 200"),
+            }
+        )
+        .withColumn("tip", F.expr("floor(fare * (l_orderkey % 7) * 7 / 100)"))
+        .selectExpr(
+            "CAST(l_suppkey % 3 AS INT) AS VendorID",
+            f"l_shipdate + make_dt_interval(0, 0, 0, start) AS {pickup}",
+            f"l_shipdate + make_dt_interval(0, 0, 0, start + ride) AS {dropoff}",
+            "if(l_linestatus = 'F', 'Y', 'N') AS store_and_fwd_flag",
+            "CAST(l_orderkey % 8 AS INT) AS RatecodeID",
+            "CAST(l_partkey % 267 AS INT) AS PULocationID",
+            "CAST((l_suppkey * 7 + l_linenumber) % 267 AS INT) AS DOLocationID",
+            "CAST(l_quantity AS INT) % 7 AS passenger_count",
+            "if(l_linenumber = 5 AND l_partkey % 10 = 0, double('NaN'), "
+            "double(l_partkey * 13 % 2500) / 100D) AS trip_distance",
+            "fare / 100D AS fare_amount",
+            "if(l_linenumber = 6, -0.5D, 0.5D) AS extra",
+            "0.5D AS mta_tax",
+            "tip / 100D AS tip_amount",
+            "tolls / 100D AS tolls_amount",
+            "0.3D AS improvement_surcharge",
+            "(fare + tip + tolls + 130) / 100D AS total_amount",
+            "CAST((l_orderkey + l_linenumber) % 7 AS INT) AS payment_type",
+            "if(l_linenumber = 7, NULL, 2.5D) AS congestion_surcharge",
+            *(extras if service == schemas.GREEN else []),
+        )
+    )
 
 
 def raw_services(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

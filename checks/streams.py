@@ -17,6 +17,7 @@ from tripforge.operators.messages import (
     parse_json,
     to_delimited_messages,
     to_json_messages,
+    to_json_rides,
 )
 from tripforge.sources.files import read_parquet
 from tripforge.sources.topics import read_message_files
@@ -38,24 +39,9 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_delimited_messages(rides(spark, sf_dir), "PULocationID", _RIDE)
 
 
-# Column names of the trips as JSON rides carry them.
-_JSON_NAMES = {
-    "RatecodeID": "rate_code_id",
-    "PULocationID": "pu_location_id",
-    "DOLocationID": "do_location_id",
-}
-
-
 def _json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides as the JSON objects a producer sends; half carry their times in arrays."""
-    rows = rides(spark, sf_dir).withColumnsRenamed(_JSON_NAMES)
-    amounts = {
-        f.name: F.col(f.name).try_cast("decimal(10,2)")
-        for f in rows.schema
-        if f.dataType.typeName() == "double"
-    }
-    codes = {name: F.col(name).cast("string") for name in ("vendor_id", "payment_type")}
-    plain = to_json_messages(rows.withColumns({**amounts, **codes}), "pu_location_id")
+    plain = to_json_messages(to_json_rides(rides(spark, sf_dir)), "pu_location_id")
     wrapped = F.regexp_replace("value", r'("tpep_\w+_datetime":)("[^"]*")', "$1[$2]")
     odd = F.col("key").cast("int") % 2 == 1
     return plain.withColumn("value", F.when(odd, wrapped).otherwise(F.col("value")))

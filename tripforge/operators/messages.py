@@ -38,6 +38,26 @@ def parse_delimited(messages: DataFrame, schema: T.StructType = schemas.RIDE_SCH
     )
 
 
+# Names under which JSON rides carry the coded columns.
+_JSON_NAMES = {
+    "RatecodeID": "rate_code_id",
+    "PULocationID": "pu_location_id",
+    "DOLocationID": "do_location_id",
+}
+
+
+def to_json_rides(rides: DataFrame) -> DataFrame:
+    """Rides in the columns and types of JSON messages, from typed or text columns."""
+    renamed = rides.withColumnsRenamed(_JSON_NAMES)
+    columns = []
+    for field in schemas.JSON_RIDE_SCHEMA:
+        kind = field.dataType
+        if isinstance(kind, T.TimestampType):
+            kind = T.StringType()
+        columns.append(F.col(field.name).try_cast(kind).alias(field.name))
+    return renamed.select(columns)
+
+
 def to_json_messages(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
     """One JSON object per row. Times are plain text and amounts are quoted decimals."""
     fields = []

@@ -2,58 +2,58 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripforge import schemas
 
-_NON_NEGATIVE = [
-    "fare_amount",
-    "total_amount",
-    "trip_distance",
-    "extra",
-    "mta_tax",
-    "tip_amount",
-    "tolls_amount",
-    "improvement_surcharge",
-    "congestion_surcharge",
-]
-
-
-def _present(df: DataFrame) -> Column:
+# Rule name to the predicate a good trip satisfies.
+RULES = {
+    "ends_after_start": "dropoff_datetime > pickup_datetime",
+    "has_passengers": "passenger_count > 0",
+    "known_payment": "payment_type BETWEEN {} AND {}".format(*schemas.PAYMENT_TYPES),
+    "known_vendor": f"VendorID IN ({', '.join(map(str, schemas.VENDORS))})",
+    "known_pickup_zone": "PULocationID BETWEEN {} AND {}".format(*schemas.LOCATIONS),
+    "known_dropoff_zone": "DOLocationID BETWEEN {} AND {}".format(*schemas.LOCATIONS),
+    "known_rate": "RatecodeID BETWEEN {} AND {}".format(*schemas.RATE_CODES),
+    **{
+        f"{amount}_not_negative": f"{amount} >= 0"
+        for amount in [
+            "fare_amount",
+            "total_amount",
+            "trip_distance",
+            "extra",
+            "mta_tax",
+            "tip_amount",
+            "tolls_amount",
+            "improvement_surcharge",
+            "congestion_surcharge",
+        ]
+    },
+}
+COMPLETE = "complete"
+
+
+def _complete(df: DataFrame) -> str:
     """No null and no NaN in any column, as predicates a Parquet scan can use."""
     checks = []
     for field in df.schema:
-        checks.append(F.col(field.name).isNotNull())
+        checks.append(f"`{field.name}` IS NOT NULL")
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            checks.append(~F.isnan(field.name))
-    return reduce(and_, checks)
-
-
-def rules(df: DataFrame) -> dict[str, Column]:
-    """Rule name to the predicate a good trip satisfies."""
-    named = {
-        "complete": _present(df),
-        "ends_after_start": F.col("dropoff_datetime") > F.col("pickup_datetime"),
-        "has_passengers": F.col("passenger_count") > 0,
-        "known_payment": F.col("payment_type").between(*schemas.PAYMENT_TYPES),
-        "known_vendor": F.col("VendorID").isin(schemas.VENDORS),
-        "known_pickup_zone": F.col("PULocationID").between(*schemas.LOCATIONS),
-        "known_dropoff_zone": F.col("DOLocationID").between(*schemas.LOCATIONS),
-        "known_rate": F.col("RatecodeID").between(*schemas.RATE_CODES),
-    }
-    named.update({f"{name}_not_negative": F.col(name) >= 0 for name in _NON_NEGATIVE})
-    return named
+            checks.append(f"NOT isnan(`{field.name}`)")
+    return " AND ".join(checks)
+
+
+def rules(df: DataFrame) -> dict[str, str]:
+    """All rules for ``df``. NaN counts as large in comparisons; ``complete`` rejects it."""
+    return {COMPLETE: _complete(df), **RULES}
 
 
 def keep_good(df: DataFrame, only: list[str] | None = None) -> DataFrame:
     """Trips that satisfy all rules, or the rules named in ``only``."""
     named = rules(df)
-    return df.filter(reduce(and_, [named[name] for name in (only or named)]))
+    return df.filter(" AND ".join(f"({named[name]})" for name in (only or named)))
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -70,8 +70,9 @@ def reject_counts(df: DataFrame) -> DataFrame:
 
     A null in a comparison fails the rule. One scan, partial aggregation.
     """
-    failed = {
-        name: F.count_if(~F.coalesce(good, F.lit(False))) for name, good in rules(df).items()
-    }
-    wide = df.groupBy("service_type").agg(*[count.alias(name) for name, count in failed.items()])
-    return wide.unpivot("service_type", list(failed), "rule", "rejected")
+    named = rules(df)
+    failed = [
+        F.expr(f"count_if(NOT coalesce({good}, false))").alias(name) for name, good in named.items()
+    ]
+    wide = df.groupBy("service_type").agg(*failed)
+    return wide.unpivot("service_type", list(named), "rule", "rejected")

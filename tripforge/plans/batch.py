@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripforge import schemas
-from tripforge.operators.dims import DIMENSIONS, dim_datetime
+from tripforge.operators.dims import DIMENSIONS, dim_datetime, dim_trip
 from tripforge.operators.fact import fact_table, fact_table_broadcast
 from tripforge.operators.quality import clean
 from tripforge.operators.reports import analytics_report, overview_report
@@ -54,10 +56,19 @@ def run_clean(store: TableStore, input_table: str, mode: str = "errorifexists")
 def build_dims(trips: DataFrame) -> dict[str, DataFrame]:
     """All six dimensions of stored ``trips``, numbered and ready for repeated use.
 
-    The time pairs are those of ``dim_trip``, which is narrower than the trips.
+    The dimensions are independent Spark jobs, so they are submitted side by side. The
+    time pairs are taken from ``dim_trip``, which is narrower than the trips.
     """
-    dims = {name: build(trips) for name, build in DIMENSIONS.items() if name != "dim_datetime"}
-    return {**dims, "dim_datetime": dim_datetime(dims["dim_trip"])}
+
+    def trip_and_datetime() -> dict[str, DataFrame]:
+        moments = dim_trip(trips)
+        return {"dim_trip": moments, "dim_datetime": dim_datetime(moments)}
+
+    others = [name for name in DIMENSIONS if name not in ("dim_trip", "dim_datetime")]
+    with ThreadPoolExecutor(len(others) + 1) as pool:
+        large = pool.submit(trip_and_datetime)
+        small = dict(zip(others, pool.map(lambda name: DIMENSIONS[name](trips), others)))
+        return {**small, **large.result()}
 
 
 def run_dims(trips: TableStore, target: TableStore, mode: str = "errorifexists") -> list[str]:
@@ -75,8 +86,12 @@ def run_fact(
     return [FACT]
 
 
-def run_revenue(trips: DataFrame, path: str | None = None, store: TableStore | None = None,
-                name: str = "monthly_revenue") -> None:
+def run_revenue(
+    trips: DataFrame,
+    path: str | None = None,
+    store: TableStore | None = None,
+    name: str = "monthly_revenue",
+) -> None:
     """Monthly revenue to one Parquet file or to a table."""
     revenue = monthly_revenue(trips)
     if path:
@@ -85,7 +100,7 @@ def run_revenue(trips: DataFrame, path: str | None = None, store: TableStore | N
         store.write(revenue, name)
 
 
-def trips_from_paths(spark, green: str, yellow: str) -> DataFrame:
+def trips_from_paths(spark: SparkSession, green: str, yellow: str) -> DataFrame:
     """Unified trips from one Parquet path per service."""
     return unify(
         {schemas.GREEN: read_parquet(spark, green), schemas.YELLOW: read_parquet(spark, yellow)}

@@ -13,6 +13,14 @@ from tripforge.sources.files import read_months, read_parquet, read_text_csv
 from tripforge.sources.tables import TableStore
 
 
+def month_paths(
+    base: str, service: str, year: int, months: Iterable[int], extension: str
+) -> list[str]:
+    """Paths of the given months of one service below ``base``."""
+    stems = [schemas.MONTH_FILE.format(service=service, year=year, month=m) for m in months]
+    return [f"{base.rstrip('/')}/{stem}.{extension}" for stem in stems]
+
+
 def csv_to_parquet(
     spark: SparkSession,
     service: str,

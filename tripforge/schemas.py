@@ -194,6 +194,9 @@ TIP_BANDS = [
 ]
 TOP_TIP_BAND = "More than 25%"
 
+# Path of one service's month below the landing folder, without extension.
+MONTH_FILE = "{service}/{service}_tripdata_{year}-{month:02d}"
+
 MESSAGE_SEPARATOR = ", "
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 LOAD_CHUNK_ROWS = 500_000
