@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.batch import COUNT, total
+from checks.batch import counted, total
 from checks.fixture import TRIPS_SQL, rides, table
 from checks.registry import check
 from tripforge import schemas
@@ -169,7 +169,7 @@ def damaged_messages(spark, sf_dir):
     broken = F.concat_ws(schemas.MESSAGE_SEPARATOR, F.slice(tokens, 1, riders), F.lit("junk"))
     parsed = parse_delimited(_messages(spark, sf_dir).select("key", broken.alias("value")))
     return parsed.agg(
-        COUNT.alias("messages"), *[F.count(c).alias(n) for n, c in _CUT_FIELDS.items()]
+        counted("messages"), *[F.count(c).alias(n) for n, c in _CUT_FIELDS.items()]
     )
 
 
@@ -285,7 +285,7 @@ def _landed(files: DataFrame, rows: DataFrame) -> DataFrame:
     def per_zone(df: DataFrame, prefix: str) -> DataFrame:
         fare = df.withColumn("fare_amount", F.round(F.col("fare_amount").cast("double"), 2))
         return fare.groupBy("PULocationID").agg(
-            COUNT.alias(f"{prefix}_rides"), total("fare_amount").alias(f"{prefix}_fares")
+            counted(f"{prefix}_rides"), total("fare_amount").alias(f"{prefix}_fares")
         )
 
     return per_zone(files, "file").join(per_zone(rows, "table"), "PULocationID")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.batch import COUNT, REVENUE_SQL, rounded_revenue, total
+from checks.batch import REVENUE_SQL, counted, rounded_revenue, total
 from checks.fixture import CLEAN_SQL, TRIPS_SQL, raw_as_typed, raw_services, trips
 from checks.registry import check
 from tripforge import schemas
@@ -73,7 +73,7 @@ def csv_months_to_parquet(spark, sf_dir):
         rows = read_parquet(spark, path).withColumn("service_type", F.lit(service))
         months.append(
             rows.groupBy("service_type", "file_year", "file_month").agg(
-                COUNT.alias("trips"), total("total_amount").alias("total")
+                counted("trips"), total("total_amount").alias("total")
             )
         )
     return months[0].unionByName(months[1])
@@ -125,7 +125,7 @@ def cleaned_tables(spark, sf_dir):
     for name in [*[CLEANED.format(service=s) for s in SERVICES], ALL_CLEANED]:
         part = store.read(name).agg(
             F.lit(name).alias("table_name"),
-            COUNT.alias("trips"),
+            counted("trips"),
             total("total_amount").alias("total"),
         )
         counts = part if counts is None else counts.unionByName(part)
@@ -166,7 +166,7 @@ def replaced_table(spark, sf_dir):
     path = staging_path(spark, "ctas")
     every = trips(spark, sf_dir)
     replace_table(every.groupBy("VendorID").count(), "tripforge_riders", path)
-    riders = every.groupBy("passenger_count").agg(COUNT.alias("trips"))
+    riders = every.groupBy("passenger_count").agg(counted("trips"))
     replace_table(riders, "tripforge_riders", path)
     return spark.table("tripforge_riders")
 
@@ -189,7 +189,7 @@ def landed_and_loaded(spark, sf_dir):
     return (
         store.read("rides")
         .groupBy("VendorID", "store_and_fwd_flag")
-        .agg(COUNT.alias("trips"))
+        .agg(counted("trips"))
         .withColumn("loaded", F.lit(loaded).cast("long"))
     )
 
@@ -304,5 +304,5 @@ def vendor_trip_count_query(spark, sf_dir):
 def clustered_table(spark, sf_dir):
     dated = _dated(spark, sf_dir, cluster_by=("VendorID",))
     return dated.groupBy("pickup_date", "VendorID").agg(
-        COUNT.alias("trips"), total("total_amount").alias("total")
+        counted("trips"), total("total_amount").alias("total")
     )

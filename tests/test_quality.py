@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import pytest
+
+from tripforge import schemas
+from tripforge.operators.quality import RULES, clean, keep_good, reject_counts, rules
+from tripforge.operators.unify import unify
+
+AMOUNTS = [
+    "fare_amount",
+    "total_amount",
+    "trip_distance",
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge",
+    "congestion_surcharge",
+]
+BAD = [
+    ("ends_after_start", {"dropoff_datetime": "2021-01-05 10:00:00"}),
+    ("ends_after_start", {"dropoff_datetime": "2021-01-05 09:00:00"}),
+    ("has_passengers", {"passenger_count": 0}),
+    ("known_payment", {"payment_type": 0}),
+    ("known_payment", {"payment_type": 7}),
+    ("known_vendor", {"VendorID": 0}),
+    ("known_vendor", {"VendorID": 3}),
+    ("known_pickup_zone", {"PULocationID": 0}),
+    ("known_pickup_zone", {"PULocationID": 266}),
+    ("known_dropoff_zone", {"DOLocationID": 0}),
+    ("known_dropoff_zone", {"DOLocationID": 266}),
+    ("known_rate", {"RatecodeID": 0}),
+    ("known_rate", {"RatecodeID": 7}),
+    *[(f"{name}_not_negative", {name: -0.01}) for name in AMOUNTS],
+]
+BOUNDARY = [
+    {"dropoff_datetime": "2021-01-05 10:00:01"},
+    {"passenger_count": 1},
+    {"payment_type": 6},
+    {"VendorID": 2},
+    {"PULocationID": 1, "DOLocationID": 265},
+    {"PULocationID": 265, "DOLocationID": 1},
+    {"RatecodeID": 6},
+    *[{name: 0.0} for name in AMOUNTS],
+]
+
+
+@pytest.mark.parametrize("rule,change", BAD)
+def test_one_bad_value_fails_its_rule_only(make_trips, rule, change):
+    bad = make_trips(change)
+    counts = {r["rule"]: r["rejected"] for r in reject_counts(bad).collect()}
+    assert {name for name, n in counts.items() if n} == {rule}
+    assert clean(bad).count() == 0
+
+
+def test_boundary_values_pass(make_trips):
+    assert keep_good(make_trips(*BOUNDARY)).count() == len(BOUNDARY)
+
+
+@pytest.mark.parametrize("change", [{"trip_distance": float("nan")}, {"congestion_surcharge": None},
+                                    {"store_and_fwd_flag": None}])
+def test_null_and_nan_are_incomplete(make_trips, change):
+    assert keep_good(make_trips(change), ["complete"]).count() == 0
+
+
+def test_complete_agrees_with_dropna(make_trips):
+    df = make_trips({}, {"trip_distance": float("nan")}, {"tip_amount": None}, {"VendorID": None})
+    assert keep_good(df, ["complete"]).count() == df.dropna().count() == 1
+
+
+def test_copies_collapse(make_trips):
+    assert clean(make_trips({}, {}, {"fare_amount": 13.0})).count() == 2
+
+
+def test_rule_names(make_trips):
+    assert list(rules(make_trips({}))) == ["complete", *RULES]
+
+
+def test_unify_by_name_keeps_copies(spark):
+    raw = {}
+    for service in (schemas.GREEN, schemas.YELLOW):
+        row = tuple(
+            None for _ in schemas.SERVICE_SCHEMAS[service]
+        )
+        raw[service] = spark.createDataFrame([row, row], schemas.SERVICE_SCHEMAS[service])
+    trips = unify(raw)
+    assert trips.columns == schemas.TRIP_COLUMNS
+    assert trips.count() == 4
