@@ -89,17 +89,23 @@ def publish_rides(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def stream_counts(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = read_topic(spark, args.servers, args.topic, args.starting)
-    start_ride_queries(messages, args.servers, args.output_topic, args.trigger, args.watermark)
-    supervise(spark)
+    supervise(
+        spark,
+        lambda: start_ride_queries(
+            messages, args.servers, args.output_topic, args.trigger, args.watermark
+        ),
+    )
 
 
 def stream_landing(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = read_topic(spark, args.servers, args.topic, args.starting)
     checkpoints = (f"{args.checkpoint}/files", f"{args.checkpoint}/table")
-    start_landing_queries(
-        messages, args.output, args.table, checkpoints, args.format, args.trigger
+    supervise(
+        spark,
+        lambda: start_landing_queries(
+            messages, args.output, args.table, checkpoints, args.format, args.trigger
+        ),
     )
-    supervise(spark)
 
 
 def parser() -> argparse.ArgumentParser:

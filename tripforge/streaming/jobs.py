@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -74,7 +76,8 @@ def start_landing_queries(
     ]
 
 
-def supervise(spark: SparkSession) -> None:
-    """Wait until any query of the session ends, forgetting those that ended before."""
+def supervise(spark: SparkSession, start: Callable[[], list[StreamingQuery]]) -> None:
+    """Start queries and wait until one of them ends; earlier ones are forgotten first."""
     spark.streams.resetTerminated()
+    start()
     spark.streams.awaitAnyTermination()

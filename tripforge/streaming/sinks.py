@@ -77,7 +77,7 @@ def table_sink(
     writer = _writer(df, mode, trigger, checkpoint)
     if fmt:
         return writer.format(fmt).option("table", table).start()
-    return writer.toTable(table, format="parquet", path=path)
+    return (writer.option("path", path) if path else writer).toTable(table, format="parquet")
 
 
 def snapshot_sink(
