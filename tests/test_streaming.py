@@ -19,6 +19,7 @@ from tripforge.streaming.sinks import (
     console_sink,
     fan_out_sink,
     file_sink,
+    gather,
     memory_sink,
     new_checkpoint,
     snapshot_sink,
@@ -128,6 +129,14 @@ def test_late_ride_is_dropped_behind_the_watermark(spark, folder):
     assert 7 not in late_counts(spark, folder, "1 hour")[1]
 
 
+def test_gathered_hot_zone_fills_its_tasks_evenly(spark, settings):
+    settings(spark__sql__shuffle__partitions="32")
+    rows = spark.range(0, 12_000, 1, 4).select(F.expr("if(id % 3 = 0, 7, id % 200)").alias("zone"))
+    hot = gather(rows, "zone", 4).filter("zone = 7").groupBy(F.spark_partition_id()).count()
+    sizes = [r["count"] for r in hot.collect()]
+    assert 1 < len(sizes) <= 4 and max(sizes) < sum(sizes)
+
+
 def test_two_landing_queries_with_their_own_checkpoints(spark, folder):
     add_file(spark, folder("in"), message(zone=5), message(zone=6))
     queries = start_landing_queries(

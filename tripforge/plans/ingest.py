@@ -33,11 +33,12 @@ def csv_to_parquet(
 ) -> None:
     """Typed months of one service as Parquet by file year and month.
 
-    REBALANCE spreads a month that came in one gzip file over several Parquet files.
+    REBALANCE gathers a month into few files and splits one that is large, also when it
+    came as a single gzip file.
     """
     raw = read_months(spark, base, schemas.SERVICE_SCHEMAS[service], years, months, prefixes)
-    spread = raw.hint("rebalance")
-    spread.write.mode(mode).partitionBy("file_year", "file_month").parquet(output)
+    arranged = raw.hint("rebalance", "file_year", "file_month")
+    arranged.write.mode(mode).partitionBy("file_year", "file_month").parquet(output)
 
 
 def land_months(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tripforge.sources.topics import TOPIC_FORMAT
@@ -50,6 +51,15 @@ def topic_sink(
     return writer.option("kafka.bootstrap.servers", servers).option("topic", topic).start()
 
 
+def gather(df: DataFrame, column: str, spread: int) -> DataFrame:
+    """Bring each value of ``column`` into at most ``spread`` tasks.
+
+    The salt does not depend on the row, so a hot value, even one of identical rows,
+    fills its tasks evenly. The fixed seed makes it repeat when a task is run again.
+    """
+    return df.repartition(F.col(column), F.floor(F.rand(seed=1) * spread))
+
+
 def file_sink(
     df: DataFrame,
     path: str,
@@ -58,9 +68,14 @@ def file_sink(
     trigger: str | None = FIVE_SECONDS,
     mode: str = "append",
     fmt: str = "parquet",
+    spread: int = 8,
 ) -> StreamingQuery:
-    """Append rows as files by zone. Tasks write their own rows, so a hot zone needs no shuffle."""
-    writer = _writer(df, mode, trigger, checkpoint).format(fmt).option("path", path)
+    """Append rows as files by zone, at most ``spread`` files per zone and batch.
+
+    Without the gathering, a batch would leave one file per zone and task.
+    """
+    rows = gather(df, partition_by, spread) if partition_by else df
+    writer = _writer(rows, mode, trigger, checkpoint).format(fmt).option("path", path)
     return (writer.partitionBy(partition_by) if partition_by else writer).start()
 
 
