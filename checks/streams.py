@@ -303,6 +303,7 @@ def landed_rides(spark, sf_dir):
         (_checkpoint(spark), _checkpoint(spark)),
         trigger=None,
         table_path=table_path,
+        spread=2,
     ):
         query.awaitTermination()
     return _landed(read_parquet(spark, files), spark.table(name))

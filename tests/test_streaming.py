@@ -130,7 +130,10 @@ def test_late_ride_is_dropped_behind_the_watermark(spark, folder):
 
 
 def test_gathered_hot_zone_fills_its_tasks_evenly(spark, settings):
-    settings(spark__sql__shuffle__partitions="32")
+    settings(
+        spark__sql__shuffle__partitions="32",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
     rows = spark.range(0, 12_000, 1, 4).select(F.expr("if(id % 3 = 0, 7, id % 200)").alias("zone"))
     hot = gather(rows, "zone", 4).filter("zone = 7").groupBy(F.spark_partition_id()).count()
     sizes = [r["count"] for r in hot.collect()]

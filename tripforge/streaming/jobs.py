@@ -67,11 +67,15 @@ def start_landing_queries(
     fmt: str | None = None,
     trigger: str | None = FIVE_SECONDS,
     table_path: str | None = None,
+    spread: int = 8,
 ) -> list[StreamingQuery]:
-    """Raw rides to files by pickup zone and to a table; two queries, two checkpoints."""
+    """Raw rides to files by pickup zone and to a table; two queries, two checkpoints.
+
+    Each query reads the source itself, so that one can fail or lag without the other.
+    """
     rides = parse_delimited(messages)
     return [
-        file_sink(rides, path, checkpoints[0], trigger=trigger),
+        file_sink(rides, path, checkpoints[0], trigger=trigger, spread=spread),
         table_sink(rides, table, checkpoints[1], fmt=fmt, trigger=trigger, path=table_path),
     ]
 
