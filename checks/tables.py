@@ -19,7 +19,13 @@ from tripforge.operators.revenue import monthly_revenue
 from tripforge.operators.unify import unify
 from tripforge.plans.batch import ALL_CLEANED, CLEANED, RAW, SERVICES, run_clean, run_revenue
 from tripforge.plans.ingest import append_months, csv_to_parquet, land_months
-from tripforge.sinks.files import replace_table, write_by_date, write_parquet, write_single_file
+from tripforge.sinks.files import (
+    replace_table,
+    with_date,
+    write_by_date,
+    write_parquet,
+    write_single_file,
+)
 from tripforge.sources.files import external_view, read_csv, read_parquet, read_text_csv
 from tripforge.sources.tables import TableStore
 from tripforge.staging import staging_path
@@ -280,7 +286,8 @@ def partition_row_counts_query(spark, sf_dir):
     WHERE CAST(pickup_datetime AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-30'""",
 )
 def distinct_vendors_in_range(spark, sf_dir):
-    return distinct_vendors(_dated(spark, sf_dir), "1998-06-01", "1998-06-30")
+    dated = with_date(trips(spark, sf_dir), "pickup_datetime")
+    return distinct_vendors(dated, "1998-06-01", "1998-06-30")
 
 
 @check(
