@@ -12,7 +12,12 @@ from checks.fixture import trips, zones
 from checks.registry import QUERIES
 from tripforge.operators.fact import fact_table, fact_table_broadcast
 from tripforge.operators.quality import clean
-from tripforge.operators.reports import between_dates, overview_report, partition_row_counts
+from tripforge.operators.reports import (
+    analytics_report,
+    between_dates,
+    overview_report,
+    partition_row_counts,
+)
 from tripforge.operators.revenue import monthly_revenue
 from tripforge.plans.batch import build_dims
 from tripforge.sinks.files import by_date, write_by_date
@@ -26,13 +31,6 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    rows = df.collect()
-    assert rows is not None
-    return plan(df)
-
-
 @pytest.fixture(scope="module")
 def stored(spark):
     return stage(trips(spark, SF_DIR), "trips")
@@ -139,6 +137,44 @@ def test_reports_shuffle_the_fact_only_for_large_dimensions(spark, settings):
     assert len(re.findall(r"SortMergeJoin", text)) == 2
 
 
+def test_hot_moment_is_split_in_the_reports(spark, settings):
+    settings(
+        spark__sql__shuffle__partitions="32",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="16KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    moments = spark.range(1, 20_001).withColumnRenamed("id", "datetime_id").withColumns(
+        {"pickup_datetime": F.expr("timestamp '2021-01-01' + make_dt_interval(0, 0, datetime_id)"),
+         "pickup_month": F.lit(1)}
+    )
+    distances = moments.select(F.col("datetime_id").alias("trip_distance_id")).withColumns(
+        {"trip_distance": F.lit(1.0), "trip_duration": F.lit(2.0)}
+    )
+    dims = {
+        "dim_datetime": stage(moments, "moments"),
+        "dim_trip": stage(distances, "distances"),
+        "dim_location": spark.range(1, 2).selectExpr(
+            "id AS location_id", "1 AS PULocationID", "1 AS DOLocationID"
+        ),
+    }
+    fact = stage(
+        spark.range(0, 60_000, 1, 16).selectExpr(
+            "if(id % 3 = 0, 5, id % 20000 + 1) AS datetime_id",
+            "if(id % 3 = 0, 5, id % 20000 + 1) AS trip_distance_id",
+            "1L AS location_id", "double(xxhash64(id) % 1000) AS fare_amount",
+            "1D AS tip_amount", "0D AS tolls_amount", "'green' AS service_type",
+        ),
+        "fact",
+    )
+    zone = spark.createDataFrame([(1, "A", "X")], "LocationID int, Zone string, Borough string")
+    report = analytics_report(fact, dims, zone)
+    assert len(report.collect()) == 60_000
+    assert "skew=true" in plan(report)
+
+
 def test_broadcast_depends_on_measured_size(spark):
     small = spark.createDataFrame([(1, "ab")], "k int, t string")
     assert byte_size(small) == 34

@@ -31,5 +31,5 @@ def parse_timestamp(value: Column) -> Column:
 
 def message_time(value: Column) -> Column:
     """Timestamp from message text, either bare or wrapped in a one-element JSON array."""
-    bare = F.regexp_replace(value, r'^\["|"\]$', "")
+    bare = F.btrim(value, F.lit('[]"'))
     return F.try_to_timestamp(bare, F.lit(TIMESTAMP_FORMAT))
