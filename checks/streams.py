@@ -159,7 +159,7 @@ _CUT_FIELDS = {
       count(*) FILTER (passenger_count >= 4) AS passengers,
       count(*) FILTER (passenger_count >= 5) AS distances,
       count(*) FILTER (passenger_count >= 6) AS rates,
-      count(*) FILTER (passenger_count >= 6) AS flags, 0 AS totals
+      count(*) FILTER (passenger_count >= 6) AS flags, CAST(0 AS BIGINT) AS totals
     FROM trips""",
 )
 def damaged_messages(spark, sf_dir):

@@ -60,6 +60,14 @@ def test_small_domain_needs_no_range_sort(spark):
     assert ids(with_surrogate_key(df, ["k"], "id", 10), ["k"], "id") == {(1,): 1, (2,): 2, (3,): 3}
 
 
+def test_domain_larger_than_said_is_numbered_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr("tripforge.operators.keys._ONE_TASK_KEYS", 10)
+    df = spark.range(100, 0, -1).withColumnRenamed("id", "k")
+    keyed = with_surrogate_key(df, ["k"], "id", 5)
+    assert ids(keyed, ["k"], "id") == {(k,): k for k in range(1, 101)}
+    assert "_place" in keyed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_dimension(spark):
     empty = spark.createDataFrame([], "k int")
     assert with_surrogate_key(empty, ["k"], "id").count() == 0
