@@ -30,7 +30,13 @@ from tripforge.streaming.jobs import (
     windowed_vendor_counts,
     windowed_vendor_messages,
 )
-from tripforge.streaming.sinks import fan_out_sink, file_sink, memory_sink, snapshot_sink
+from tripforge.streaming.sinks import (
+    fan_out_sink,
+    file_sink,
+    memory_sink,
+    snapshot_path,
+    snapshot_sink,
+)
 
 _RIDE = schemas.RIDE_SCHEMA.names
 
@@ -64,8 +70,7 @@ def _finished_snapshot(counts: DataFrame) -> DataFrame:
     path = staging_path(spark, "snapshot")
     query = snapshot_sink(counts, path, _checkpoint(spark), trigger=None)
     query.awaitTermination()
-    last = query.lastProgress["batchId"]
-    return read_parquet(spark, f"{path}/batch_id={last}")
+    return read_parquet(spark, snapshot_path(path, query.lastProgress["batchId"]))
 
 
 def _flat_window(counts: DataFrame) -> DataFrame:

@@ -183,8 +183,8 @@ def replaced_table(spark, sf_dir):
 @check(
     "landed_and_loaded",
     f"""WITH {TRIPS_SQL}
-    SELECT "VendorID", store_and_fwd_flag = 'Y' AS store_and_fwd_flag, count(*) AS trips,
-      (SELECT count(*) FROM trips WHERE service_type = 'yellow') AS loaded
+    SELECT CAST("VendorID" AS BIGINT) AS "VendorID", store_and_fwd_flag = 'Y' AS store_and_fwd_flag,
+      count(*) AS trips, (SELECT count(*) FROM trips WHERE service_type = 'yellow') AS loaded
     FROM trips WHERE service_type = 'yellow' GROUP BY 1, 2""",
 )
 def landed_and_loaded(spark, sf_dir):

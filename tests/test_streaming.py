@@ -22,6 +22,7 @@ from tripforge.streaming.sinks import (
     gather,
     memory_sink,
     new_checkpoint,
+    snapshot_path,
     snapshot_sink,
     topic_sink,
 )
@@ -51,7 +52,7 @@ def test_stream_counts_equal_batch_counts(spark, folder):
     stream = count_by(rides_from(read_message_files(spark, folder("in"))), ["vendor_id"])
     run(snapshot_sink(stream, folder("out"), folder("ck"), trigger=None))
     batch = count_by(parse_delimited(read_parquet(spark, folder("in"))), ["vendor_id"])
-    streamed = read_parquet(spark, folder("out") + "/batch_id=0")
+    streamed = read_parquet(spark, snapshot_path(folder("out"), 0))
     assert sorted(streamed.collect(), key=str) == sorted(batch.collect(), key=str)
 
 
@@ -77,7 +78,7 @@ def test_restart_continues_without_counting_twice(spark, folder):
     go()
     add_file(spark, folder("in"), message(1))
     last = go()
-    assert read_parquet(spark, f"{folder('out')}/batch_id={last}").first()["count"] == 3
+    assert read_parquet(spark, snapshot_path(folder("out"), last)).first()["count"] == 3
 
 
 def test_restarted_landing_adds_only_new_rides(spark, folder):
@@ -221,5 +222,5 @@ def test_events_source_window_matches_batch(spark, folder):
     counts = stream.groupBy(F.window("ts", "1 day"), "event_type").count()
     run(snapshot_sink(counts, folder("out"), folder("ck"), trigger=None))
     expected = source.groupBy(F.window("ts", "1 day"), "event_type").count()
-    got = read_parquet(spark, folder("out") + "/batch_id=0")
+    got = read_parquet(spark, snapshot_path(folder("out"), 0))
     assert got.exceptAll(expected).count() == expected.exceptAll(got).count() == 0

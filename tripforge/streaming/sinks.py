@@ -95,16 +95,22 @@ def table_sink(
     return (writer.option("path", path) if path else writer).toTable(table, format="parquet")
 
 
+def snapshot_path(path: str, batch_id: int) -> str:
+    """Where :func:`snapshot_sink` keeps the result of a batch: two folders in turn."""
+    return f"{path}/slot={batch_id % 2}"
+
+
 def snapshot_sink(
     df: DataFrame, path: str, checkpoint: str, trigger: str | None = FIVE_SECONDS
 ) -> StreamingQuery:
-    """The whole aggregate after each batch, as Parquet in ``path``/``batch_id=N``.
+    """The whole aggregate after each batch, as Parquet; the last two results are kept.
 
-    A batch that is run again overwrites its own folder, so a restart leaves one copy.
+    A batch that is run again overwrites its own folder and leaves the one before
+    readable, so a restart neither doubles nor loses a result.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(snapshot_path(path, batch_id))
 
     return _writer(df, "complete", trigger, checkpoint).foreachBatch(write).start()
 
