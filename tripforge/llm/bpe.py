@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 from tripforge.llm.batches import bound_batches, map_texts
 
 LONG_PARTS = 64
-#: Pieces kept by a worker, and the longest that is kept.
-TABLE_PIECES, TABLE_LENGTH = 100_000, 40
+#: Pieces and words kept by a worker, and the longest that is kept.
+TABLE_SIZE, TABLE_LENGTH = 500_000, 40
 #: Characters of a long text that are split at once.
 STRETCH = 1 << 20
 
@@ -70,31 +70,26 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.inner = [vocab.get(c) for c in _byte_characters()]
         self.last = [vocab.get(c + end) for c in _byte_characters()]
-        self.pairs = {
-            (vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(model["merges"])
-        }
+        self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(model["merges"])}
+        self.made = [vocab[a + b] for a, b in model["merges"]]
         self.tokens = [""] * (1 + max(*vocab.values(), *self.special.values()))
         for token, number in chain(vocab.items(), self.special.items()):
             self.tokens[number] = token
 
-    def rank(self, parts: list[int], at: int) -> int:
-        if at + 1 >= len(parts):
-            return _NO_RANK
-        return self.pairs.get((parts[at], parts[at + 1]), (_NO_RANK, 0))[0]
-
     def merge_short(self, parts: list[int]) -> list[int]:
-        ranks = [self.rank(parts, i) for i in range(len(parts) - 1)]
+        rank, made = self.ranks.get, self.made
+        ranks = [rank(pair, _NO_RANK) for pair in zip(parts, parts[1:])]
         while ranks:
             least = min(ranks)
             if least == _NO_RANK:
                 break
             at = ranks.index(least)
-            parts[at] = self.pairs[parts[at], parts[at + 1]][1]
+            parts[at] = made[least]
             del parts[at + 1], ranks[at]  # the boundary and its rank
             if at:
-                ranks[at - 1] = self.rank(parts, at - 1)
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), _NO_RANK)
             if at < len(ranks):
-                ranks[at] = self.rank(parts, at)
+                ranks[at] = rank((parts[at], parts[at + 1]), _NO_RANK)
         return parts
 
     def merge_long(self, parts: list[int]) -> list[int]:
@@ -105,16 +100,16 @@ class WordBpe:
 
         def push(left: int) -> None:
             right = after[left]
-            if right < n and (found := self.pairs.get((parts[left], parts[right]))):
-                heapq.heappush(heap, (found[0], left, right, parts[left], parts[right], found[1]))
+            if right < n and (rank := self.ranks.get((parts[left], parts[right]))) is not None:
+                heapq.heappush(heap, (rank, left, right, parts[left], parts[right]))
 
         for i in range(n - 1):
             push(i)
         while heap:
-            _, left, right, a, b, made = heapq.heappop(heap)
+            rank, left, right, a, b = heapq.heappop(heap)
             if parts[left] != a or after[left] != right or parts[right] != b:
                 continue  # one of the two has been merged since
-            parts[left], parts[right] = made, -1
+            parts[left], parts[right] = self.made[rank], -1
             after[left] = after[right]
             if after[left] < n:
                 before[after[left]] = left
@@ -130,30 +125,44 @@ class WordBpe:
         return self.merge_short(parts) if len(parts) <= LONG_PARTS else self.merge_long(parts)
 
 
+class _Words(dict):
+    """Token ids of words. A full table keeps what it has: frequent words came first."""
+
+    def __init__(self, bpe: WordBpe):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, word: str) -> list[int]:
+        ids = self.bpe.word(word)
+        if len(self) < TABLE_SIZE and len(word) <= TABLE_LENGTH:
+            self[word] = ids
+        return ids
+
+
 class _Pieces(dict):
     """Token ids of white-space-free pieces of text."""
 
     def __init__(self, bpe: WordBpe):
         super().__init__()
         self.bpe = bpe
+        self.words = _Words(bpe)
         self.split = regex.compile(bpe.pattern)
         self.special = re.compile("|".join(map(re.escape, bpe.special))) if bpe.special else None
 
     def plain(self, text: str) -> list[int]:
         # Every sigma by itself: str.lower() alone would look at its place in the word.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return [i for word in self.split.findall(text) for i in self.bpe.word(word)]
+        words = self.words
+        return [i for word in self.split.findall(text) for i in words[word]]
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> list[int]:
         ids, at = [], 0
         for found in self.special.finditer(piece) if self.special else ():
             ids += self.plain(piece[at : found.start()])
             ids.append(self.bpe.special[found.group()])
             at = found.end()
-        ids = tuple(ids + self.plain(piece[at:]))
-        if len(piece) <= TABLE_LENGTH:
-            if len(self) >= TABLE_PIECES:
-                self.clear()
+        ids += self.plain(piece[at:])
+        if len(self) < TABLE_SIZE and len(piece) <= TABLE_LENGTH:
             self[piece] = ids
         return ids
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripforge.llm import bpe, decontaminate
+from tripforge.llm import bpe, decontaminate, language, sharding, toxicity, urls
 from tripforge.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,60 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def held_out(parts: int, part: int) -> Column:
+    """Whether a document is kept from learning; those without an id are."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(True))
+
+
+def language_model(documents: DataFrame) -> language.Model:
+    return language.fit(documents.where(~held_out(3, 1)))
+
+
+@query("op1_language")
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: the model is learned. Tests hold it against a plain version and held-out rows."""
+    documents = table(spark, sf_dir, "documents")
+    found = language.identify(documents, language_model(documents), ["doc_id"])
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+#: Verdict and host/path of the rules that every page is judged by.
+URL_RULES = [
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+]
+
+
+@query("op2_urls")
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components are iterative, so there is no SQL; tests hold it against a plain union-find."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, ["page_id"])
+
+
+#: Shards of the table, built as so many regions of so many racks.
+SHARDS, REGIONS, RACKS = 40, 4, 2
+
+
+@query("op4_shards")
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CRC-32 and the draws' hash are not in the SQL at hand; tests hold it against a plain version."""
+    trees = [sharding.even_tree(n, REGIONS, RACKS, SHARDS) for n in (SHARDS, SHARDS + 1)]
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), *trees)
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: the model is learned. Tests hold it against enumerated states and held-out rows."""
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    model = toxicity.fit(documents, labels.where(~held_out(5, 0)))
+    return toxicity.score(documents, model, ["doc_id"]).select(
+        "doc_id",
+        held_out(5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "spans",
+    )
