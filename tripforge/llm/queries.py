@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripforge.llm import bpe, decontaminate, language, sharding, toxicity, urls
+from tripforge.llm import bpe, decontaminate, language, search, sharding, toxicity, urls
 from tripforge.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +153,28 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "spans",
     )
+
+
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+
+@query("op7_search", OP7_SQL)
+def op7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double"))
+    # The operator leaves out what is null or not finite; floor() would make numbers of it.
+    finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    vectors = table(spark, sf_dir, "embeddings").where(finite).select("vec_id", whole.alias("embedding"))
+    return search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
