@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripforge.llm import bpe, decontaminate, language, search, sharding, toxicity, urls
+from tripforge.llm import bpe, decontaminate, language, minhash, search, sharding, toxicity, urls
 from tripforge.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,3 +178,10 @@ def op7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     vectors = table(spark, sf_dir, "embeddings").where(finite).select("vec_id", whole.alias("embedding"))
     return search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+@query("op8_minhash")
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components are iterative, so there is no SQL; tests hold it against all pairs."""
+    found = minhash.cluster(table(spark, sf_dir, "documents"), size=2)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")

@@ -13,7 +13,8 @@ asked for; memory follows the block and the shard, not the table.
 
 Defined results: vectors that are null, or hold a null or a number that is not finite, take no part, nor
 do rows without an id or vectors whose length is not that of the table's most common one. A query with fewer than
-k candidates returns them all. Rows that repeat an id are candidates each, but not of a query with that id.
+k candidates returns them all. Rows that repeat an id are candidates each, but not of a query with that id;
+a query id that repeats is asked once, with the least of its vectors.
 """
 
 from __future__ import annotations
@@ -114,6 +115,7 @@ def top_k(
     sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "n").head(1)
     width, total = (sizes[0]["n"], sizes[0]["rows"]) if sizes else (0, 0)
     rows, asked = (df.where(F.size("v") == width) for df in (rows, asked))
+    asked = asked.groupBy("id").agg(F.min("v").alias("v"))
     shards = max(1, -(-total // shard_rows))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
