@@ -35,7 +35,7 @@ from tripforge.llm.batches import bound_batches, map_texts
 
 LONG_PARTS = 64
 #: Pieces and words kept by a worker, and the longest that is kept.
-TABLE_SIZE, TABLE_LENGTH = 500_000, 40
+TABLE_SIZE, TABLE_LENGTH = 250_000, 40
 #: Characters of a long text that are split at once.
 STRETCH = 1 << 20
 
@@ -166,10 +166,12 @@ class _Pieces(dict):
             self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> Iterator[int]:
+    def encode(self, text: str) -> np.ndarray:
+        found = []
         for stretch in stretches(text):
             pieces = _SPACE.split(stretch) if _NOT_SPACE.search(stretch) else stretch.split()
-            yield from chain.from_iterable(map(self.__getitem__, pieces))
+            found.append(np.fromiter(chain.from_iterable(map(self.__getitem__, pieces)), np.int32))
+        return found[0] if len(found) == 1 else np.concatenate(found)
 
 
 def stretches(text: str) -> Iterator[str]:
@@ -201,7 +203,7 @@ def encode(df: DataFrame, path: str, keep: list[str], text: str = "text") -> Dat
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         pieces = _pieces(shared)
-        rows = [np.fromiter(pieces.encode(t), np.int32) if t else np.zeros(0, np.int32) for t in texts.to_pylist()]
+        rows = [pieces.encode(t or "") for t in texts.to_pylist()]
         ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))]
 

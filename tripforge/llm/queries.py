@@ -151,7 +151,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         held_out(5, 0).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
-        "spans",
+        F.to_json("spans").alias("spans"),
     )
 
 
