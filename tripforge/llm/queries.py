@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripforge.llm import bpe, decontaminate, language, minhash, search, sharding, toxicity, urls
+from tripforge.llm import bpe, decontaminate, language, minhash, search, sharding, suffixes, toxicity, urls
 from tripforge.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,3 +185,17 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components are iterative, so there is no SQL; tests hold it against all pairs."""
     found = minhash.cluster(table(spark, sf_dir, "documents"), size=2)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query("op9_suffixes")
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 100-byte string of the table by SQL would be too slow; tests hold it against a dictionary."""
+    found = suffixes.cut(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
