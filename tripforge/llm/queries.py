@@ -88,9 +88,13 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-table encoding; no SQL can state it, so the tests hold it against the library."""
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
+def token_digests(documents: DataFrame) -> DataFrame:
+    """Number of tokens, and digests of the ids and of the decoded text, of every document."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, ["doc_id"])
-    return bpe.decode(encoded, path).select(
+    return bpe.decode(bpe.encode(documents, path, ["doc_id"]), path).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -297,7 +297,7 @@ def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for step in steps(batch, 2, STEP):
             data, offsets = utf8(step.column(2))
-            lists = step.column(3)
+            lists = step.column("spans")
             spans = lists.flatten()
             document = np.repeat(np.arange(len(step)), np.diff(lists.offsets.to_numpy()))
             first, last = (spans.field(i).to_numpy().astype(np.int64) + offsets[document] for i in (0, 1))
@@ -367,12 +367,14 @@ def _whole_characters(raw: bytes, begin: int, end: int) -> tuple[int, int]:
     return begin, end
 
 
-def _keyed(df: DataFrame, id_column: str, text: str) -> DataFrame:
+def _keyed(df: DataFrame, id_column: str, text: str, keep: list[str]) -> DataFrame:
     own = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    carried = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("carried")] if keep else []
     return df.select(
         F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(_LAST_ID)).alias("id"),
         F.xxhash64(own).alias("tie"),
         own.alias("text"),
+        *carried,
     )
 
 
@@ -418,13 +420,19 @@ def find_repeats(documents: DataFrame) -> DataFrame:
     return resolved.where("NOT asked").union(more).drop("asked")
 
 
-def cut(df: DataFrame, id_column: str = "doc_id", text: str = "text", whole_characters: bool = False) -> DataFrame:
-    """(id, tie, n_bytes, spans, kept) of every row.
+def cut(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    keep: list[str] = (),
+    whole_characters: bool = False,
+) -> DataFrame:
+    """(id, n_bytes, spans, kept) of every row, and the columns of ``keep`` in a struct ``carried``.
 
     ``spans`` are the maximal [first, last) runs of removed bytes and ``kept`` the other bytes, joined. With
     ``whole_characters`` a run leaves the characters that it would split, so ``kept`` is valid UTF-8.
     """
-    documents = _keyed(df, id_column, text)
+    documents = _keyed(df, id_column, text, list(keep))
     # A document's runs are at most as many as its bytes.
     gone = find_repeats(documents).groupBy("id", "tie").agg(F.collect_list(F.struct("first", "last")).alias("gone"))
 
@@ -444,10 +452,41 @@ def cut(df: DataFrame, id_column: str = "doc_id", text: str = "text", whole_char
                 spans.append(own)
                 ends = [0, *(b for _, b in own)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(ends, [*(a for a, _ in own), len(raw)])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary())],
-                names=["id", "tie", "n_bytes", "spans", "kept"],
-            )
+            made = [
+                pa.array(sizes, pa.int64()),
+                pa.array(spans, pa.list_(pa.list_(pa.int64()))),
+                pa.array(kept, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, *batch.columns[4:]], names=schema.names)
+
+    joined = bound_batches(documents).join(gone, ["id", "tie"], "left")
+    carried = ["carried"] if keep else []
+    schema = T.StructType(
+        [
+            T.StructField("id", T.LongType()),
+            T.StructField("n_bytes", T.LongType()),
+            T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
+            T.StructField("kept", T.BinaryType()),
+            *[joined.schema[c] for c in carried],
+        ]
+    )
+    found = joined.select("id", "tie", "text", "gone", *carried).mapInArrow(run, schema)
+    return found.withColumn("id", F.when(F.col("id") != _LAST_ID, F.col("id")))
 
-    joined = bound_batches(documents).join(gone, ["id", "tie"], "left").select("id", "tie", "text", "gone")
-    return joined.mapInArrow(run, "id long, tie long, n_bytes long, spans array<array<long>>, kept binary")
+
+def drop_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """All rows, with the repeated bytes cut out of their texts at whole characters.
+
+    A text that is all repeats becomes empty; a null text stays null.
+    """
+    columns = df.columns
+    names = [f"c{i}" for i in range(len(columns))]
+    place = dict(zip(columns, names))
+    plain = df.toDF(*names).withColumn("missing", F.col(place[text]).isNull())
+    others = [n for n in names if n != place[text]]
+    # The text itself is carried once, as the operator's own column.
+    found = cut(plain, place[id_column], place[text], [*others, "missing"], whole_characters=True)
+    kept = F.when(~F.col("carried.missing"), F.decode("kept", F.lit("UTF-8")))
+    return found.select(
+        *[kept.alias(n) if n == place[text] else F.col(f"carried.{n}").alias(n) for n in names]
+    ).toDF(*columns)
