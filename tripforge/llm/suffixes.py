@@ -486,7 +486,7 @@ def drop_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text") -
     others = [n for n in names if n != place[text]]
     # The text itself is carried once, as the operator's own column.
     found = cut(plain, place[id_column], place[text], [*others, "missing"], whole_characters=True)
-    kept = F.when(~F.col("carried.missing"), F.decode("kept", F.lit("UTF-8")))
+    kept = F.when(~F.col("carried.missing"), F.decode("kept", "UTF-8"))
     return found.select(
         *[kept.alias(n) if n == place[text] else F.col(f"carried.{n}").alias(n) for n in names]
     ).toDF(*columns)
