@@ -49,32 +49,35 @@ def _is_letter() -> np.ndarray:
     return _letters[0]
 
 
-def _stretches(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Code points and row numbers of the texts, in stretches; all but letters become spaces.
+def _stretches(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Code points, row numbers, and whether an n-gram may begin there, in stretches of the texts.
 
-    A stretch repeats the last characters of the one before, so that no n-gram is lost; each text
-    ends in a space.
+    All but letters become spaces, and each text ends in one. A stretch of a long text goes on for the
+    characters that its last n-grams need; those begin in the next one.
     """
     letters, overlap = _is_letter(), max(ORDERS) - 1
-    codes, rows, held = [], [], 0
+    held, size = [], 0
     for row, text in enumerate(texts):
+        text = text.lower()
         for at in range(0, len(text), STRETCH):
-            piece = text[max(0, at - overlap) : at + STRETCH].lower()
+            piece = text[at : at + STRETCH + overlap]
             points = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
-            points = np.append(np.where(letters[points], points, _SPACE), _SPACE)
-            codes.append(points)
-            rows.append(np.full(len(points), row))
-            held += len(points)
-            if held >= STRETCH:
-                yield np.concatenate(codes), np.concatenate(rows)
-                codes, rows, held = [], [], 0
-    if codes:
-        yield np.concatenate(codes), np.concatenate(rows)
+            points = np.where(letters[points], points, _SPACE)
+            if len(piece) < STRETCH + overlap:  # it reaches the text's end
+                points = np.append(points, _SPACE)
+            begins = np.arange(len(points)) < (STRETCH if at + STRETCH < len(text) else len(points))
+            held.append((points, np.full(len(points), row), begins))
+            size += len(points)
+            if size >= STRETCH:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
 
 
 def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Buckets and row numbers of all n-grams that begin with or hold a letter."""
-    for codes, rows in _stretches(texts):
+    """Buckets and row numbers of all n-grams that hold a letter."""
+    for codes, rows, begins in _stretches(texts):
         points = codes.astype(np.uint64)
         for n in ORDERS:
             size = len(codes) - n + 1
@@ -85,7 +88,7 @@ def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for i in range(n):
                 total += points[i : i + size] * _FACTORS[i]
                 some |= codes[i : i + size] != _SPACE
-            some &= rows[:size] == rows[n - 1 : n - 1 + size]
+            some &= (rows[:size] == rows[n - 1 : n - 1 + size]) & begins[:size]
             yield (mix(total[some]) & np.uint64(BUCKETS - 1)).astype(np.int64), rows[:size][some]
 
 
