@@ -268,9 +268,14 @@ def test_chains_and_buckets_with_several_components(spark, make_documents):
 def test_cross_pairs_are_complete_at_any_block_size(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 3)
     monkeypatch.setattr(minhash, "BLOCK_OUTSIDERS", 2)
-    members = [(1, bytes([i]), bytes([0 if i < 12 else i]), bytes(minhash.COORDINATES)) for i in range(20)]
-    df = spark.createDataFrame(members, "key long, class binary, component binary, short binary")
-    got = {(bytes(r["a"]), bytes(r["b"])) for r in minhash._cross_pairs(df).collect()}
+    members = [
+        (key, band, bytes([i]), bytes([0 if i < 12 else i]), 9, bytes(minhash.COORDINATES))
+        for key, band in ((1, 0), (2, 3))
+        for i in range(20)
+    ]
+    schema = "key long, band int, class binary, component binary, n_shingles long, short binary"
+    df = spark.createDataFrame(members, schema)
+    got = {(bytes(r["a"]), bytes(r["b"])) for r in minhash._cross_pairs(df, minhash.THRESHOLD).collect()}
     expected = {(bytes([i]), bytes([j])) for i in range(20) for j in range(i + 1, 20) if j >= 12}
     assert got == expected
 

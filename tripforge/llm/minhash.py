@@ -4,7 +4,7 @@ Method: a document's set is its distinct word shingles. The sketch of a set has
 every shingle is hashed to one bin and puts the value (i, hash) there if it is the least; rounds go on until
 every bin of the document is filled. From round ``COORDINATES`` on, each shingle goes to the bin that the round
 names, so no bin can stay empty. Bins agree with probability about the Jaccard similarity and concentrate as well as
-independent minima do, at about one pass over a large set. ``BANDS`` bands of ``ROWS`` bins are the keys
+independent minima do, at about one pass over a large set. The first ``BANDS`` * ``ROWS`` bins make the bands, keys
 under which documents meet; at similarity 0.8 all of them differ with a chance of about 3e-6.
 
 Documents with equal sets are one class from the start (a digest of the whole set). Verification compares whole
@@ -14,7 +14,7 @@ shingle sets, from the words themselves:
 2. links join classes to components. Only a bucket whose classes are still in different components may hide a
    link. There, classes outside the bucket's largest component meet all classes of the bucket, in
    blocks of bounded size; pairs in one component are passed over, the others are estimated from the whole sketches,
-   and those that may reach the threshold are compared.
+   and those that may reach the threshold are compared. A pair is named by the first of its common buckets only.
 
 So no bucket, hot or not, is gathered in one task or expanded into all its pairs, and nothing caps partners.
 Sketches, links and components are written tables in the shared folder.
@@ -45,12 +45,11 @@ from tripforge.staging import stage
 SHINGLE_WORDS = 5
 THRESHOLD = Fraction(4, 5)
 BANDS, ROWS = 32, 5
-COORDINATES = BANDS * ROWS
-#: Estimated similarity below which a pair is not compared in step 2: at the threshold the
-#: estimate has a deviation of 0.03, so 0.6 is more than six deviations away.
-LEAST_ESTIMATE = 0.6
+COORDINATES = 512
+#: Deviations of the estimate below the threshold at which a pair is still compared in step 2.
+DEVIATIONS = 5
 #: Members of a block, and outsiders that one block of them meets.
-BLOCK_MEMBERS, BLOCK_OUTSIDERS = 2048, 256
+BLOCK_MEMBERS, BLOCK_OUTSIDERS = 1024, 256
 
 _U = np.uint64
 _EMPTY = np.iinfo(np.uint64).max
@@ -99,7 +98,7 @@ def sketches(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def band_keys(filled: np.ndarray) -> np.ndarray:
     """One key for each row and band; keys of different bands differ."""
     keys = np.tile(_BAND_SEEDS, (len(filled), 1))
-    bins = filled.reshape(len(filled), BANDS, ROWS)
+    bins = filled[:, : BANDS * ROWS].reshape(len(filled), BANDS, ROWS)
     for i in range(ROWS):
         keys = mix(keys * _FACTOR + bins[:, :, i])
     return keys
@@ -174,10 +173,10 @@ def _verified(
     return stage(compared.distinct(), name)
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
+def _cross_pairs(members: DataFrame, threshold: Fraction) -> DataFrame:
     """Distinct pairs of classes in one bucket, in different components, that may be similar.
 
-    ``members``: (key, class, component, short) of buckets with several components.
+    ``members``: (key, band, class, component, n_shingles, short) of buckets with several components.
     """
     by_component = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     buckets = by_component.groupBy("key").agg(
@@ -195,30 +194,36 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
     )
     # Every member is in one block and meets every part of the outsiders; every outsider is in one
     # part and meets every block.
-    columns = ["key", "class", "component", "short"]
     hosts = placed.select(
-        *columns,
+        *members.columns,
         F.lit(False).alias("guest"),
         F.pmod("hash", "blocks").cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
     )
     guests = placed.where("outside").select(
-        *columns,
+        *members.columns,
         F.lit(True).alias("guest"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod(F.shiftright("hash", 20), "parts").cast("int").alias("part"),
     )
+    share = float(threshold)
+    least = share - DEVIATIONS * (share * (1 - share) / COORDINATES) ** 0.5
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        guest = group["guest"].to_numpy(bool)
-        classes, comps = group["class"].to_numpy(), group["component"].to_numpy()
-        short = np.stack([np.frombuffer(s, np.uint8) for s in group["short"]])
+        guest, band = group["guest"].to_numpy(bool), int(group["band"].iloc[0])
+        classes = group["class"].to_numpy()
+        components_ = np.unique(group["component"].to_numpy(), return_inverse=True)[1]
+        sizes = group["n_shingles"].to_numpy(float)
+        short = np.frombuffer(b"".join(group["short"]), np.uint8).reshape(len(group), -1)
         hosts, found = np.flatnonzero(~guest), []
         for g in np.flatnonzero(guest):
-            alike = (short[hosts] == short[g]).mean(axis=1) >= LEAST_ESTIMATE
-            for h in hosts[alike]:
-                if comps[h] != comps[g]:
-                    found.append((min(classes[h], classes[g]), max(classes[h], classes[g])))
+            other = hosts[components_[hosts] != components_[g]]
+            other = other[np.minimum(sizes[other], sizes[g]) >= share * np.maximum(sizes[other], sizes[g])]
+            same = short[other] == short[g]
+            near = same.mean(axis=1) >= least
+            first = same[near, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            for h in other[near][first == band]:
+                found.append((min(classes[h], classes[g]), max(classes[h], classes[g])))
         return pd.DataFrame(found, columns=["a", "b"])
 
     groups = bound_batches(hosts.union(guests)).groupBy("key", "block", "part")
@@ -232,15 +237,17 @@ def row_digest(id_column: str, text: str) -> Column:
 
 
 def _bucket_keys(classes: DataFrame) -> DataFrame:
-    """(key, class): every class under each of its band keys."""
+    """(key, band, class): every class under each of its band keys."""
 
     def run(batches):
         for batch in batches:
             keys = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64)
             place = pa.array(np.repeat(np.arange(len(batch)), BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("class").take(place)], names=["key", "class"])
+            band = np.tile(np.arange(BANDS, dtype=np.int32), len(batch))
+            made = [pa.array(keys), pa.array(band), batch.column("class").take(place)]
+            yield pa.RecordBatch.from_arrays(made, names=["key", "band", "class"])
 
-    return bound_batches(classes).select("bands", "class").mapInArrow(run, "key long, class binary")
+    return bound_batches(classes).select("bands", "class").mapInArrow(run, "key long, band int, class binary")
 
 
 def _in_components(classes: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -261,7 +268,7 @@ def cluster(
     source = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     source = source.select("id", row_digest("id", "text").alias("row"), "text")
     rows = stage(sketch(source, ["id", "row"], "text", size), "sketches")
-    of_class = F.min(F.struct("row", "bands", "short")).alias("one")
+    of_class = F.min(F.struct("row", "n_shingles", "bands", "short")).alias("one")
     classes = stage(
         rows.where("class IS NOT NULL")
         .groupBy("class")
@@ -286,13 +293,17 @@ def cluster(
     nodes = stage(components(links, "near-components"), "near-nodes")
 
     # Step 2: buckets of three classes and more that are still in several components.
-    several = _in_components(members.where("n > 2").select("key", "class"), nodes)
+    several = _in_components(members.where("n > 2").select("key", "band", "class"), nodes)
     mixed = several.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     members_of_mixed = stage(
-        several.join(stage(mixed.select("key"), "mixed-buckets"), "key").join(classes.select("class", "short"), "class"),
+        several.join(stage(mixed.select("key"), "mixed-buckets"), "key").join(
+            classes.select("class", "n_shingles", "short"), "class"
+        ),
         "mixed-members",
     )
-    second = stage(_cross_pairs(members_of_mixed).join(first, ["a", "b"], "left_anti"), "second-pairs")
+    second = stage(
+        _cross_pairs(members_of_mixed, threshold).join(first, ["a", "b"], "left_anti"), "second-pairs"
+    )
     more = _verified(second, classes, source, size, threshold, "second-links")
     if not more.isEmpty():
         nodes = stage(components(links.union(more), "near-components"), "near-nodes")
