@@ -113,7 +113,7 @@ def delimited_messages(spark, sf_dir):
 
 @check("first_messages", f"WITH {TRIPS_SQL} {_TEXT_SQL} ORDER BY value LIMIT 100")
 def first_messages_query(spark, sf_dir):
-    return first_messages(_messages(spark, sf_dir).orderBy("value"))
+    return first_messages(_messages(spark, sf_dir).orderBy("value"), 100)
 
 
 _RIDES_SQL = """SELECT "VendorID" AS vendor_id, pickup_datetime AS tpep_pickup_datetime,

@@ -112,8 +112,8 @@ def test_window_count_messages_name_their_window(spark):
     assert count_messages(counts, ["count"]).first()["key"] is None
 
 
-def test_first_messages_default(spark):
-    assert first_messages(messages(spark, *[str(i) for i in range(150)])).count() == 100
+def test_first_messages(spark):
+    assert first_messages(messages(spark, *[str(i) for i in range(150)]), 100).count() == 100
 
 
 @pytest.mark.parametrize(

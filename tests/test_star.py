@@ -55,19 +55,6 @@ def test_hot_leading_key_is_spread(skewed_keys, settings, spark):
     assert max(sizes) < 2 * 30_000 / 8
 
 
-def test_small_domain_needs_no_range_sort(spark):
-    df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
-    assert ids(with_surrogate_key(df, ["k"], "id", 10), ["k"], "id") == {(1,): 1, (2,): 2, (3,): 3}
-
-
-def test_domain_larger_than_said_is_numbered_by_ranges(spark, monkeypatch):
-    monkeypatch.setattr("tripforge.operators.keys._ONE_TASK_KEYS", 10)
-    df = spark.range(100, 0, -1).withColumnRenamed("id", "k")
-    keyed = with_surrogate_key(df, ["k"], "id", 5)
-    assert ids(keyed, ["k"], "id") == {(k,): k for k in range(1, 101)}
-    assert "_place" in keyed._jdf.queryExecution().executedPlan().toString()
-
-
 def test_empty_dimension(spark):
     empty = spark.createDataFrame([], "k int")
     assert with_surrogate_key(empty, ["k"], "id").count() == 0
@@ -108,10 +95,11 @@ def test_both_assemblies_agree(star):
     assert plain.exceptAll(hinted).count() == hinted.exceptAll(plain).count() == 0
 
 
-def test_trip_unknown_to_one_dimension_keeps_its_other_keys(star):
+@pytest.mark.parametrize("assemble", [fact_table, fact_table_broadcast])
+def test_trip_unknown_to_one_dimension_keeps_its_other_keys(star, assemble):
     trips, dims = star
     without = {**dims, "dim_trip": dims["dim_trip"].limit(0)}
-    fact = fact_table(trips, without)
+    fact = assemble(trips, without)
     assert fact.filter("trip_distance_id IS NOT NULL").count() == 0
     assert fact.filter("datetime_id IS NULL").count() == 0
 

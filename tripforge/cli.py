@@ -84,7 +84,8 @@ def publish_rides(spark: SparkSession, args: argparse.Namespace) -> None:
         messages = to_json_messages(named, "pu_location_id")
     else:
         messages = to_delimited_messages(rides, "PULocationID", rides.columns)
-    publish(messages if args.all else first_messages(messages), args.servers, args.topic)
+    sample = first_messages(messages, args.first) if args.first else messages
+    publish(sample, args.servers, args.topic)
 
 
 def stream_counts(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -174,7 +175,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--servers", required=True)
     sub.add_argument("--topic", required=True)
     sub.add_argument("--json", action="store_true")
-    sub.add_argument("--all", action="store_true", help="not only the first messages")
+    sub.add_argument("--first", type=int, help="send only so many messages, as a sample")
 
     sub = job("stream-counts", stream_counts, mode=None)
     topic(sub)

@@ -4,17 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tripforge import schemas
 from tripforge.functions.calendar import calendar_parts, minutes_between
 from tripforge.functions.codes import payment_name, rate_name
 from tripforge.operators.keys import with_surrogate_key
 
 
-def _domain(bounds: tuple[int, int]) -> int:
-    low, high = bounds
-    return high - low + 1
-
-
 def dim_passenger(trips: DataFrame) -> DataFrame:
     distinct = trips.select("passenger_count").distinct()
     keyed = with_surrogate_key(distinct, ["passenger_count"], "passenger_id")
@@ -35,23 +29,18 @@ def dim_trip(trips: DataFrame) -> DataFrame:
 
 def dim_location(trips: DataFrame) -> DataFrame:
     keys = ["PULocationID", "DOLocationID"]
-    pairs = _domain(schemas.LOCATIONS) ** 2
-    return with_surrogate_key(trips.select(*keys).distinct(), keys, "location_id", pairs)
+    return with_surrogate_key(trips.select(*keys).distinct(), keys, "location_id")
 
 
 def dim_rate(trips: DataFrame) -> DataFrame:
     distinct = trips.select("RatecodeID").distinct()
-    keyed = with_surrogate_key(
-        distinct, ["RatecodeID"], "rate_id", _domain(schemas.RATE_CODES)
-    )
+    keyed = with_surrogate_key(distinct, ["RatecodeID"], "rate_id")
     return keyed.withColumn("rate_name", rate_name("RatecodeID"))
 
 
 def dim_payment_type(trips: DataFrame) -> DataFrame:
     distinct = trips.select("payment_type").distinct()
-    keyed = with_surrogate_key(
-        distinct, ["payment_type"], "payment_id", _domain(schemas.PAYMENT_TYPES)
-    )
+    keyed = with_surrogate_key(distinct, ["payment_type"], "payment_id")
     return keyed.withColumn("payment_code", payment_name("payment_type"))
 
 

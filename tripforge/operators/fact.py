@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from tripforge.staging import broadcast_if_small
 
+# Columns of the fact table, in order.
 FACT_COLUMNS = [
     "VendorID",
     "datetime_id",
@@ -42,35 +43,29 @@ def _with_small_keys(trips: DataFrame, dims: dict[str, DataFrame], hint: bool) -
     return trips
 
 
-def fact_table(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """One fact row per trip, by left joins; the join strategy is Spark's choice.
+def _with_large_keys(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Both near-fact-size dimensions, each by its own left join.
 
-    The small dimensions come first so that they join before any shuffle of the
-    trips. The two near-fact-size dimensions join by shuffle on their full natural
-    key: their side is spread evenly because keys are unique, and AQE splits a key
-    that is hot on the trip side.
+    The trips are shuffled once: partitioned by the time pair, they also meet the
+    dimension whose key is the pair and the distance.
     """
     return (
-        _with_small_keys(trips, dims, hint=False)
-        .join(dims["dim_datetime"].select(*_DATETIME_KEY, "datetime_id"), _DATETIME_KEY, "left")
+        trips.join(dims["dim_datetime"].select(*_DATETIME_KEY, "datetime_id"), _DATETIME_KEY, "left")
         .join(dims["dim_trip"].select(*_TRIP_KEY, "trip_distance_id"), _TRIP_KEY, "left")
         .select(*FACT_COLUMNS)
     )
 
 
-def fact_table_broadcast(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Same rows as :func:`fact_table` when ``dims`` were built from these ``trips``.
+def fact_table(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """One fact row per trip, by left joins; the join strategy is Spark's choice.
 
-    Small dimensions are broadcast after a size check. The two large ones are joined
-    with each other first, where rows are narrow, so the trips cross the network once
-    instead of twice. A trip missing from ``dim_trip`` would lose its ``datetime_id``
-    this way; use :func:`fact_table` for dimensions of other origin.
+    The small dimensions come first so that they join before any shuffle of the
+    trips. The two near-fact-size dimensions join by shuffle: their keys are unique,
+    so their side is even, and AQE splits a key that is hot on the trip side.
     """
-    moments = dims["dim_trip"].select(*_TRIP_KEY, "trip_distance_id").join(
-        dims["dim_datetime"].select(*_DATETIME_KEY, "datetime_id"), _DATETIME_KEY, "left"
-    )
-    return (
-        _with_small_keys(trips, dims, hint=True)
-        .join(moments, _TRIP_KEY, "left")
-        .select(*FACT_COLUMNS)
-    )
+    return _with_large_keys(_with_small_keys(trips, dims, hint=False), dims)
+
+
+def fact_table_broadcast(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """The rows of :func:`fact_table`; small dimensions are broadcast after a size check."""
+    return _with_large_keys(_with_small_keys(trips, dims, hint=True), dims)

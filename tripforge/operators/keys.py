@@ -7,35 +7,20 @@ from pyspark.sql import functions as F
 
 from tripforge.staging import stage
 
-# Up to this many keys one sorting task is cheaper than a staged range sort.
-_ONE_TASK_KEYS = 100_000
-
 # monotonically_increasing_id() is documented to hold the partition number in
 # the upper bits and the row number within the partition in the lower 33.
 _ROW_BITS = 33
 
 
-def with_surrogate_key(
-    df: DataFrame, keys: list[str], id_col: str, domain_size: int | None = None
-) -> DataFrame:
+def with_surrogate_key(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:
     """Number rows 1..n in the order of ``keys``, which must identify a row.
 
-    Equal to ``row_number() OVER (ORDER BY keys)``. ``domain_size`` is the number
-    of keys that can exist at all, where that is known. A small domain is numbered in
-    one task, after a count of the written keys has confirmed that it is small.
-
-    Otherwise the rows are range-partitioned by the whole key, so even a leading value
+    Equal to ``row_number() OVER (ORDER BY keys)``. The rows are range-partitioned by the whole key, so even a leading value
     shared by most rows is split, sorted, and written once. Each row's id is its place
     in its range plus the rows in earlier ranges. Both are read from the written
     table, so the ids cannot drift between passes. The result is backed by written
-    tables either way and is cheap to use again.
+    tables and is cheap to use again.
     """
-    if domain_size is not None and domain_size <= _ONE_TASK_KEYS:
-        df = stage(df, f"{id_col}-keys")
-        if df.count() <= _ONE_TASK_KEYS:
-            position = F.row_number().over(Window.orderBy(*keys))
-            return df.withColumn(id_col, position.cast("long"))
-
     placed = stage(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)

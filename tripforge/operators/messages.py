@@ -102,6 +102,6 @@ def count_messages(
     return flat.select(key.alias("key"), _delimited(names).alias("value"))
 
 
-def first_messages(messages: DataFrame, n: int = schemas.MESSAGES_PER_FILE) -> DataFrame:
+def first_messages(messages: DataFrame, n: int) -> DataFrame:
     """The first ``n`` messages of a file, as a publishing sample."""
     return messages.limit(n)

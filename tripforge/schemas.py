@@ -199,5 +199,3 @@ MONTH_FILE = "{service}/{service}_tripdata_{year}-{month:02d}"
 
 MESSAGE_SEPARATOR = ", "
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-LOAD_CHUNK_ROWS = 500_000
-MESSAGES_PER_FILE = 100

@@ -16,6 +16,9 @@ SQL_SETTINGS = {
     # Split a hot join key even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A join on more columns than its input is partitioned by keeps that partitioning: the trips
+    # meet both of their near-fact-size dimensions after one shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # HotSpot does not compile methods above 8000 bytes of bytecode. Long rule chains and
     # wide aggregates exceed that as one generated method; below it Spark splits the work.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tripforge.schemas import LOAD_CHUNK_ROWS
 from tripforge.sources.tables import TableStore
 from tripforge.sources.topics import TOPIC_FORMAT
 
@@ -78,7 +77,7 @@ def append_counted(df: DataFrame, store: TableStore, name: str) -> int:
     """Append to a table and return the rows loaded, counted during the write itself."""
     loaded = Observation()
     observed = df.observe(loaded, F.count(F.lit(1)).alias("rows"))
-    store.write(observed, name, mode="append", maxRecordsPerFile=LOAD_CHUNK_ROWS)
+    store.write(observed, name, mode="append")
     return loaded.get["rows"]
 
 

@@ -31,10 +31,15 @@ def read_topic(
     return reader.options(**topic_options(servers, topic, starting), **options).load()
 
 
-def read_message_files(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Stream over a folder of Parquet ``(key, value)`` files."""
-    return (
-        spark.readStream.schema(MESSAGE_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(path)
-    )
+def read_message_files(
+    spark: SparkSession, path: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Stream over a folder of Parquet ``(key, value)`` files.
+
+    With ``files_per_batch`` the files must have been written in the order of event time:
+    a watermark that has passed with one batch drops older rows of the next.
+    """
+    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
