@@ -13,12 +13,12 @@ their ``GRAM``-byte strings. So neighbouring windows with one anchor form a segm
 2. What remains is shuffled by the anchor's hash. Segments with equal anchor and content (128 bits of hash) have
    all windows in common: all but the earliest are removed. A segment that shares its anchor, and the
    bytes on one side of it, with another one may share some windows: it is passed on.
-3. The windows of those are taken from the documents, one by one, and shuffled by their hash (128 bits); all but the
+3. The windows of those are taken from the documents, one by one, and shuffled by their hash (96 bits); all but the
    earliest of equal windows are removed. Equal windows in one task are combined before.
 4. The removed stretches of a document are gathered, merged and cut out.
 
 A complete suffix array of all bytes, shuffled, would be a hundred times the input; segments are about as large as the
-input. Equality between tasks rests on 128-bit hashes, since the other task's bytes are not at hand; within a
+input. Equality between tasks rests on those hashes, since the other task's bytes are not at hand; within a
 task it is verified.
 
 Hot keys. Copies in one task leave one row. Anchors that a sample (``SAMPLE_ROWS`` rows) finds in over ``HOT_SHARE``
@@ -45,7 +45,7 @@ from tripforge.llm.hashing import between, byte_hashes, mix, prefix_hashes, seed
 from tripforge.staging import stage
 
 LENGTH, GRAM = 100, 32
-SAMPLE_ROWS, HOT_SHARE = 20_000, 0.002
+SAMPLE_ROWS, HOT_SHARE = 20_000, 0.01
 STEP = 3 << 20
 
 _U = np.uint64
@@ -289,7 +289,7 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # --- windows ------------------------------------------------------------------------------------------------------
 
-_WINDOWS = "route long, other long, id long, tie long, first int"
+_WINDOWS = "route long, other int, id long, tie long, first int"
 
 
 def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +305,7 @@ def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.repeat(document, n)
             start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
             route = mix(between(byte_hashes(data), start, start + LENGTH))
-            other = mix(between(prefix_hashes(_OTHER_BYTES[data]), start, start + LENGTH))
+            other = mix(between(prefix_hashes(_OTHER_BYTES[data]), start, start + LENGTH)).astype(np.uint32)
             id_, tie = (step.column(i).to_numpy()[row] for i in (0, 1))
             place = start - offsets[row]
             order = np.lexsort((place, tie, id_, other, route))
@@ -320,7 +320,7 @@ def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.where(done, own, route[picked]).view(np.int64)),
-                    pa.array(other[picked].view(np.int64)),
+                    pa.array(other[picked].view(np.int32)),
                     pa.array(id_[picked]),
                     pa.array(tie[picked]),
                     pa.array(np.where(done, ~place[picked], place[picked]), pa.int32()),
@@ -372,7 +372,7 @@ def _keyed(df: DataFrame, id_column: str, text: str, keep: list[str]) -> DataFra
     carried = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("carried")] if keep else []
     return df.select(
         F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(_LAST_ID)).alias("id"),
-        F.xxhash64(own).alias("tie"),
+        F.shiftrightunsigned(F.xxhash64(own), 33).alias("tie"),
         own.alias("text"),
         *carried,
     )
