@@ -35,13 +35,15 @@ from tripforge.llm.hashing import ALNUM, Words, between, byte_hashes, lower_asci
 from tripforge.staging import stage
 
 TRAIN_ROWS = 20_000
-FIELD_ROWS = 3_000
+FIELD_ROWS = 2_000
 TRAIN_BYTES = 64 << 10
 #: A feature is weighed if so many toxic documents have it, and a sign of toxicity if its odds of
 #: being in a toxic document are so many times those of being in a clean one.
 LEAST_DOCUMENTS = 5
 SIGN_ODDS = 20.0
 ROUNDS, RATE, RIDGE = 60, 0.3, 1e-3
+#: Tokens that one step of the fit works on, and one longer text.
+FIT_TOKENS = 50_000
 SPAN_PROBABILITY = 0.5
 _BLOCK = 128
 _FILTER_BITS = 20
@@ -180,10 +182,23 @@ def evidence(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(counts)), np.log(1e-3 + sums), greatest, np.log1p(counts)])
 
 
+def _chunks(counts: np.ndarray):
+    """Texts in runs of about ``FIT_TOKENS`` tokens: slices of texts and of tokens."""
+    ends = np.cumsum(counts)
+    first = 0
+    while first < len(counts):
+        begin = ends[first] - counts[first]
+        last = max(first + 1, int(np.searchsorted(ends, begin + FIT_TOKENS, "right")))
+        yield slice(first, last), slice(begin, ends[last - 1])
+        first = last
+
+
 def _fit_field(model: Model, features: np.ndarray, counts: np.ndarray, toxic: np.ndarray) -> None:
     """Weights, bias and step that make the labelled tokens likely, by scaled gradient steps."""
-    at, which = model.features.find(features.ravel())
-    token = at // features.shape[1]
+    parts = []
+    for texts, tokens in _chunks(counts):
+        at, which = model.features.find(features[tokens].ravel())
+        parts.append((texts, tokens, at // features.shape[1], which))
     told = toxic.astype(float)
     steps_told = np.zeros((2, 2))
     first = np.cumsum(counts) - counts
@@ -192,14 +207,14 @@ def _fit_field(model: Model, features: np.ndarray, counts: np.ndarray, toxic: np
     np.add.at(steps_told, (previous, toxic.astype(int)), 1)
     mean, spread = [0.0] * 3, [0.0] * 3
     for turn in range(1, ROUNDS + 1):
-        potential = np.exp(np.clip(model.emission(features), -60, 60))
-        found, pairs = forward_backward(potential, counts, np.exp(model.step), pairs=True)
-        missing = told - found
-        slopes = [
-            np.bincount(which, missing[token], len(model.weights)) - RIDGE * len(counts) * model.weights,
-            missing.sum(),
-            steps_told - pairs,
-        ]
+        slopes = [-RIDGE * len(counts) * model.weights, 0.0, steps_told.copy()]
+        for texts, tokens, token, which in parts:
+            potential = np.exp(np.clip(model.emission(features[tokens]), -60, 60))
+            found, pairs = forward_backward(potential, counts[texts], np.exp(model.step), pairs=True)
+            missing = told[tokens] - found
+            slopes[0] = slopes[0] + np.bincount(which, missing[token], len(model.weights))
+            slopes[1] += missing.sum()
+            slopes[2] -= pairs
         for k, slope in enumerate(slopes):
             mean[k] = 0.8 * mean[k] + 0.2 * slope
             spread[k] = 0.95 * spread[k] + 0.05 * slope**2
@@ -293,14 +308,18 @@ def fit(
     model.weights = np.log(odds[weighed])[order] / 2  # where the climb starts
 
     rows = sample.where(F.col("place") < share * field_rows // max(total, 1)).select("label", "text").toPandas()
-    words, feats, _ = _tokens(pa.array(rows["text"], pa.string()))
-    counts, marks = words.counts, rows["label"].to_numpy()
+    # Token by token for some rows at a time: the bytes' hashes are larger than the texts.
+    pieces = [_tokens(pa.array(rows["text"][k : k + 100], pa.string())) for k in range(0, len(rows), 100)]
+    feats = np.concatenate([p[1] for p in pieces])
+    counts, marks = np.concatenate([p[0].counts for p in pieces]), rows["label"].to_numpy()
+    del pieces
     at, _ = signs.find(feats.ravel())
     told = np.zeros(len(feats), bool)
     told[at // feats.shape[1]] = True
     told &= np.repeat(marks, counts) == 1
     _fit_field(model, feats, counts, told)
-    seen = evidence(model.marginals(feats, counts), counts)
+    found = [model.marginals(feats[tokens], counts[texts]) for texts, tokens in _chunks(counts)]
+    seen = evidence(np.concatenate(found), counts)
     model.logistic = _fit_logistic(seen, marks.astype(float))
     return model
 
