@@ -295,6 +295,25 @@ def fact_table_broadcast_query(spark, sf_dir):
     return fact_table_broadcast(*star(spark, sf_dir))
 
 
+def _foreign_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """All cleaned trips, and dimensions that know only the first vendor's."""
+    stored = stage(cleaned(spark, sf_dir), "cleaned")
+    return stored, build_dims(stored.where("VendorID = 1"))
+
+
+_FOREIGN_SQL = FACT_SQL.replace("FROM clean)", 'FROM clean WHERE "VendorID" = 1)')
+
+
+@check("fact_with_foreign_dims", f"WITH {_FOREIGN_SQL} SELECT * FROM fact_table")
+def fact_with_foreign_dims(spark, sf_dir):
+    return fact_table(*_foreign_dims(spark, sf_dir))
+
+
+@check("fact_with_foreign_dims_broadcast", f"WITH {_FOREIGN_SQL} SELECT * FROM fact_table")
+def fact_with_foreign_dims_broadcast(spark, sf_dir):
+    return fact_table_broadcast(*_foreign_dims(spark, sf_dir))
+
+
 @check(
     "fact_key_coverage",
     f"""WITH {FACT_SQL}

@@ -18,10 +18,15 @@ from tripforge.operators.reports import (
 from tripforge.operators.revenue import monthly_revenue
 from tripforge.operators.unify import unify
 from tripforge.plans.batch import ALL_CLEANED, CLEANED, RAW, SERVICES, run_clean, run_revenue
-from tripforge.plans.ingest import append_months, csv_to_parquet, land_months
+from tripforge.plans.ingest import (
+    append_months,
+    csv_to_parquet,
+    land_file,
+    land_months,
+    month_paths,
+)
 from tripforge.sinks.files import (
     replace_table,
-    with_date,
     write_by_date,
     write_parquet,
     write_single_file,
@@ -180,59 +185,76 @@ def replaced_table(spark, sf_dir):
 # --- landing and loading ------------------------------------------------------
 
 
+# Every landed column in its own type: whole numbers as 64 bits, the flag as a boolean.
+_WHOLE = ["VendorID", "RatecodeID", "PULocationID", "DOLocationID", "passenger_count", "payment_type"]
+_SAME = [c for c in schemas.COMMON_COLUMNS if c not in [*_WHOLE, "store_and_fwd_flag"]]
+_REPAIRED_COLUMNS = ", ".join(
+    [
+        *[f'CAST("{c}" AS BIGINT) AS "{c}"' for c in _WHOLE],
+        "store_and_fwd_flag = 'Y' AS store_and_fwd_flag",
+        *_SAME,
+    ]
+)
+_GREEN_ONLY = ", CAST(NULL AS DOUBLE) AS ehail_fee, CAST(1 AS INT) AS trip_type"
+
+
+def _named(df: DataFrame, service: str) -> DataFrame:
+    times = schemas.SERVICE_TIMES[service]
+    return df.withColumnsRenamed({times[0]: "pickup_datetime", times[1]: "dropoff_datetime"})
+
+
 @check(
     "landed_and_loaded",
-    f"""WITH {TRIPS_SQL}
-    SELECT CAST("VendorID" AS BIGINT) AS "VendorID", store_and_fwd_flag = 'Y' AS store_and_fwd_flag,
-      count(*) AS trips, (SELECT count(*) FROM trips WHERE service_type = 'yellow') AS loaded
-    FROM trips WHERE service_type = 'yellow' GROUP BY 1, 2""",
+    f"""WITH {TRIPS_SQL} SELECT {_REPAIRED_COLUMNS},
+      (SELECT count(*) FROM trips WHERE service_type = 'yellow') AS loaded
+    FROM trips WHERE service_type = 'yellow'""",
 )
 def landed_and_loaded(spark, sf_dir):
     landed = staging_path(spark, "landed")
-    land_months(spark, [_csv(spark, sf_dir, schemas.YELLOW)], schemas.YELLOW, landed)
+    land_file(spark, _csv(spark, sf_dir, schemas.YELLOW), schemas.YELLOW, landed)
     store = TableStore(spark, staging_path(spark, "store"))
     loaded = append_months(spark, [landed], store, "rides")
-    return (
-        store.read("rides")
-        .groupBy("VendorID", "store_and_fwd_flag")
-        .agg(counted("trips"))
-        .withColumn("loaded", F.lit(loaded).cast("long"))
-    )
+    rides = _plain_times(_named(store.read("rides"), schemas.YELLOW))
+    return rides.withColumn("loaded", F.lit(loaded).cast("long"))
 
 
-_REPAIRED_SQL = """
-  SELECT CAST("VendorID" AS BIGINT) AS "VendorID", pickup_datetime, dropoff_datetime,
-    store_and_fwd_flag = 'Y' AS store_and_fwd_flag,
-    CAST("RatecodeID" AS BIGINT) AS "RatecodeID", CAST("PULocationID" AS BIGINT) AS "PULocationID",
-    CAST("DOLocationID" AS BIGINT) AS "DOLocationID",
-    CAST(passenger_count AS BIGINT) AS passenger_count,
-    CAST(payment_type AS BIGINT) AS payment_type
-  FROM trips"""
-_REPAIRED = [
-    "VendorID",
-    "pickup_datetime",
-    "dropoff_datetime",
-    "store_and_fwd_flag",
-    "RatecodeID",
-    "PULocationID",
-    "DOLocationID",
-    "passenger_count",
-    "payment_type",
-]
+def _write_months(spark: SparkSession, sf_dir: str, service: str, base: str) -> None:
+    """Odd and even months of trips as two raw files; the second has its columns reversed."""
+    text = raw_as_typed(spark, sf_dir, service)
+    text = text.withColumns({c: F.col(c).cast("string") for c in schemas.SERVICE_TIMES[service]})
+    odd = F.month(schemas.SERVICE_TIMES[service][0]) % 2 == 1
+    for month, rows in ((1, text.where(odd)), (2, text.where(~odd).select(*reversed(text.columns)))):
+        (path,) = month_paths(base, service, 2021, [month], "csv.gz")
+        rows.write.option("header", True).option("compression", "gzip").csv(path)
+
+
+@check(
+    "landed_then_cleaned",
+    f"""WITH {CLEAN_SQL} SELECT {_REPAIRED_COLUMNS}, service_type FROM clean""",
+)
+def landed_then_cleaned(spark, sf_dir):
+    """Raw months of both services, landed, loaded and cleaned as the command line does."""
+    base, landed = staging_path(spark, "months"), staging_path(spark, "landed")
+    store = TableStore(spark, staging_path(spark, "store"))
+    for service in (schemas.GREEN, schemas.YELLOW):
+        _write_months(spark, sf_dir, service, base)
+        land_months(spark, base, service, landed, 2021, [1, 2])
+        paths = month_paths(landed, service, 2021, [1, 2], "parquet")
+        append_months(spark, paths, store, RAW.format(service=service))
+    run_clean(store, "all")
+    return _plain_times(store.read(ALL_CLEANED))
 
 
 def _repair_query(service: str) -> None:
+    extra = _GREEN_ONLY if service == schemas.GREEN else ""
+
     @check(
         f"type_repair_{service}",
-        f"WITH {TRIPS_SQL} {_REPAIRED_SQL} WHERE service_type = '{service}'",
+        f"WITH {TRIPS_SQL} SELECT {_REPAIRED_COLUMNS} {extra} FROM trips WHERE service_type = '{service}'",
     )
     def query(spark, sf_dir):
         repaired = repair_types(read_text_csv(spark, _csv(spark, sf_dir, service)), service)
-        times = schemas.SERVICE_TIMES[service]
-        named = repaired.withColumnsRenamed(
-            {times[0]: "pickup_datetime", times[1]: "dropoff_datetime"}
-        )
-        return _plain_times(named.select(_REPAIRED))
+        return _plain_times(_named(repaired, service))
 
 
 _repair_query(schemas.GREEN)
@@ -286,8 +308,7 @@ def partition_row_counts_query(spark, sf_dir):
     WHERE CAST(pickup_datetime AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-30'""",
 )
 def distinct_vendors_in_range(spark, sf_dir):
-    dated = with_date(trips(spark, sf_dir), "pickup_datetime")
-    return distinct_vendors(dated, "1998-06-01", "1998-06-30")
+    return distinct_vendors(_dated(spark, sf_dir), "1998-06-01", "1998-06-30")
 
 
 @check(

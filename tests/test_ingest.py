@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import glob
 import gzip
+import os
+import re
 
 import pytest
 
@@ -11,13 +13,20 @@ from tripforge.cli import main, parser
 from tripforge.plans.batch import DIMENSIONS, run_clean
 from tripforge.plans.ingest import append_months, csv_to_parquet, month_paths
 from tripforge.sinks.files import publish, replace_table, write_parquet, write_single_file
-from tripforge.sources.files import external_view, months_glob, read_csv, read_months, read_parquet
+from tripforge.sources.files import (
+    external_view,
+    months_glob,
+    read_csv,
+    read_months,
+    read_parquet,
+    read_text_csv,
+)
 from tripforge.sources.tables import TableStore
 from tripforge.staging import shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 HEADER = ",".join(schemas.YELLOW_SCHEMA.names)
-LINE = "1,2020-07-01 00:25:32,2020-07-01 00:33:39,1,.80,1,N,238,75,2,8,0.5,0.5,0,0,0.3,9.3,0"
+LINE = "2,2020-03-09 07:05:00,2020-03-09 07:21:30,3,4.25,1,N,41,166,1,16.5,0,0.5,3.46,0,0.3,23.26,2.5"
 
 
 @pytest.fixture
@@ -38,10 +47,10 @@ def store(spark, tmp_path):
 
 
 def test_bad_csv_field_is_null(spark, write_csv):
-    path = write_csv("a.csv.gz", LINE, LINE.replace("238", "??"))
+    path = write_csv("a.csv.gz", LINE, LINE.replace(",41,", ",??,"))
     rows = read_csv(spark, path, schemas.YELLOW_SCHEMA).collect()
-    assert [r["PULocationID"] for r in rows] == [238, None]
-    assert rows[0]["trip_distance"] == 0.8
+    assert [r["PULocationID"] for r in rows] == [41, None]
+    assert rows[0]["trip_distance"] == 4.25
 
 
 def test_months_glob():
@@ -177,15 +186,38 @@ def test_reports_job(spark, store, tmp_path, make_trips):
     assert {r["Day"] for r in analytics.collect()} == {"Monday", "Tuesday"}
 
 
-def test_land_and_load_from_the_command_line(spark, store, write_csv, tmp_path, capsys):
+def test_header_of_another_order_is_an_error(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    names = schemas.YELLOW_SCHEMA.names
+    path.write_text(",".join(reversed(names)) + "\n" + ",".join(reversed(LINE.split(","))) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(path), schemas.YELLOW_SCHEMA).collect()
+
+
+def test_files_are_matched_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("VendorID,PULocationID,DOLocationID\n1,10,20\n")
+    (tmp_path / "b.csv").write_text("VendorID,DOLocationID,PULocationID\n2,21,11\n")
+    (tmp_path / "c.csv").write_text("VendorID,PULocationID\n3,12\n")
+    df = read_text_csv(spark, [str(tmp_path / f"{n}.csv") for n in "abc"])
+    rows = sorted((r["VendorID"], r["PULocationID"], r["DOLocationID"]) for r in df.collect())
+    assert rows == [("1", "10", "20"), ("2", "11", "21"), ("3", "12", None)]
+
+
+def test_readme_commands_land_and_load(spark, store, write_csv, tmp_path, capsys):
     for month in (1, 2):
         write_csv(f"raw/yellow/yellow_tripdata_2021-{month:02d}.csv.gz", LINE, LINE)
-    months = ["--months", "1", "2", "--year", "2021", "--color", "yellow"]
-    landed = str(tmp_path / "landed/yellow/yellow_tripdata_2021-01.parquet")
-    main(["land", *months[:2], *months[3:], "--input", str(tmp_path / "raw"), "--output", landed])
-    main(["load", "--months", "1", "--input", str(tmp_path / "landed"), "--dataset", store.location])
-    assert "Total rows: 2" in capsys.readouterr().out
-    assert store.read("rides").first()["store_and_fwd_flag"] is False
+    raw, landed = str(tmp_path / "raw"), str(tmp_path / "landed")
+    readme = open(os.path.join(os.path.dirname(__file__), "..", "README.md")).read()
+    places = {"raw": raw, "landed": landed, "/lake/trips": store.location}
+    for job in ("land", "load"):
+        (line,) = re.findall(rf"^python -m tripforge ({job} .*)$", readme, re.M)
+        main([places.get(word, word) for word in line.split()])
+    assert "Total rows: 4" in capsys.readouterr().out
+    row = store.read("yellow_trips_data").first()
+    assert row["store_and_fwd_flag"] is False
+    assert (row["fare_amount"], row["VendorID"], row["trip_distance"]) == (16.5, 2, 4.25)
+    run_clean(store, "yellow_trips_data")
+    assert store.read("yellow_trips_data_cleaned").count() == 1
 
 
 def test_arguments():

@@ -22,18 +22,18 @@ from tripforge.operators.repair import repair_types
 from tripforge.streaming.counts import windowed_count
 
 FULL = (
-    "1, 2020-07-01 00:25:32, 2020-07-01 00:33:39, 1, .80, 1, N, 238, 75, 2, 8, 0.5, 0.5, 0, 0, "
-    "0.3, 9.3, 0"
+    "2, 2020-03-09 07:05:00, 2020-03-09 07:21:30, 3, 4.25, 1, N, 41, 166, 1, 16.5, 0, 0.5, 3.46, 0, "
+    "0.3, 23.26, 2.5"
 )
-PICKUP = dt.datetime(2020, 7, 1, 0, 25, 32)
+PICKUP = dt.datetime(2020, 3, 9, 7, 5)
 # A JSON ride as a producer of the other convention writes it.
 ARRAY_TIMES = (
-    '{"vendor_id": "1", "tpep_pickup_datetime": ["2020-07-01 00:25:32"], '
-    '"tpep_dropoff_datetime": ["2020-07-01 00:33:39"], "passenger_count": 1, '
-    '"trip_distance": "1.50", "rate_code_id": 1, "store_and_fwd_flag": "N", '
-    '"pu_location_id": 238, "do_location_id": 75, "payment_type": "2", "fare_amount": "8", '
-    '"extra": "0.5", "mta_tax": "0.5", "tip_amount": "0", "tolls_amount": "0", '
-    '"improvement_surcharge": "0.3", "total_amount": "9.3", "congestion_surcharge": "0"}'
+    '{"vendor_id": "2", "tpep_pickup_datetime": ["2020-03-09 07:05:00"], '
+    '"tpep_dropoff_datetime": ["2020-03-09 07:21:30"], "passenger_count": 3, '
+    '"trip_distance": "4.25", "rate_code_id": 1, "store_and_fwd_flag": "N", '
+    '"pu_location_id": 41, "do_location_id": 166, "payment_type": "1", "fare_amount": "16.5", '
+    '"extra": "0", "mta_tax": "0.5", "tip_amount": "3.46", "tolls_amount": "0", '
+    '"improvement_surcharge": "0.3", "total_amount": "23.26", "congestion_surcharge": "2.5"}'
 )
 
 
@@ -47,9 +47,9 @@ def parsed(spark, *values):
 
 def test_delimited_message(spark):
     (ride,) = parsed(spark, FULL)
-    assert ride["vendor_id"] == 1 and ride["tpep_pickup_datetime"] == PICKUP
-    assert ride["trip_distance"] == pytest.approx(0.8)
-    assert ride["store_and_fwd_flag"] == "N" and ride["total_amount"] == pytest.approx(9.3)
+    assert ride["vendor_id"] == 2 and ride["tpep_pickup_datetime"] == PICKUP
+    assert ride["trip_distance"] == pytest.approx(4.25)
+    assert ride["store_and_fwd_flag"] == "N" and ride["total_amount"] == pytest.approx(23.26)
 
 
 def test_binary_messages_parse_alike(spark):
@@ -59,12 +59,12 @@ def test_binary_messages_parse_alike(spark):
 
 def test_damaged_messages_give_nulls(spark):
     short, empty, junk, longer = parsed(
-        spark, "1, 2020-07-01 00:25:32", "", FULL.replace("238", "zone"), FULL + ", more, still"
+        spark, "1, 2020-03-09 07:05:00", "", FULL.replace(", 41,", ", zone,"), FULL + ", more, still"
     )
     assert short["vendor_id"] == 1 and short["passenger_count"] is None
     assert all(v is None for v in empty)
-    assert junk["PULocationID"] is None and junk["DOLocationID"] == 75
-    assert longer["congestion_surcharge"] == 0
+    assert junk["PULocationID"] is None and junk["DOLocationID"] == 166
+    assert longer["congestion_surcharge"] == 2.5
 
 
 def test_null_fields_do_not_shift_later_ones(spark):
@@ -78,7 +78,7 @@ def test_json_times_in_arrays_or_bare(spark):
     first, second = parse_json(messages(spark, ARRAY_TIMES, bare)).collect()
     assert first == second
     assert first["tpep_pickup_datetime"] == PICKUP
-    assert first["trip_distance"] == Decimal("1.50") and first["pu_location_id"] == 238
+    assert first["trip_distance"] == Decimal("4.25") and first["pu_location_id"] == 41
 
 
 def test_broken_json_gives_nulls(spark):
@@ -98,7 +98,7 @@ def test_json_rides_from_text_columns(spark):
         [tuple(FULL.split(", "))], [f"`{n}`".strip("`") for n in schemas.RIDE_SCHEMA.names]
     )
     ride = to_json_rides(text).first()
-    assert (ride["trip_distance"], ride["rate_code_id"]) == (Decimal("0.80"), 1)
+    assert (ride["trip_distance"], ride["rate_code_id"]) == (Decimal("4.25"), 1)
 
 
 def test_window_count_messages_name_their_window(spark):
@@ -106,8 +106,8 @@ def test_window_count_messages_name_their_window(spark):
     counts = windowed_count(rides, "tpep_pickup_datetime", ["vendor_id"], "10 minutes", "5 minutes")
     sent = {(r["key"], r["value"]) for r in count_messages(counts, ["window", "count"], "vendor_id").collect()}
     assert sent == {
-        ("1", "2020-07-01 00:20:00, 2020-07-01 00:30:00, 2"),
-        ("1", "2020-07-01 00:25:00, 2020-07-01 00:35:00, 2"),
+        ("2", "2020-03-09 07:00:00, 2020-03-09 07:10:00, 2"),
+        ("2", "2020-03-09 07:05:00, 2020-03-09 07:15:00, 2"),
     }
     assert count_messages(counts, ["count"]).first()["key"] is None
 

@@ -132,9 +132,25 @@ def test_small_dimensions_are_broadcast_and_large_ones_are_not(spark, settings):
 
 def test_reports_shuffle_the_fact_only_for_large_dimensions(spark, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    settings(spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     fact, dims = stored_fact(spark, SF_DIR)
-    text = plan(overview_report(fact, dims, zones(spark, SF_DIR)))
-    assert len(re.findall(r"SortMergeJoin", text)) == 2
+    report = overview_report(fact, dims, zones(spark, SF_DIR))
+    report.collect()
+    text = plan(report).split("== Initial Plan ==")[0]
+    shuffled = re.findall(r"[ +]Exchange hashpartitioning\((\w+)#", text)
+    # The fact once and the moments once; the way for disagreeing rows reuses both.
+    assert shuffled.count("trip_distance_id") == 2
+    assert "ReusedExchange" in text
+
+
+def test_trips_are_shuffled_once_for_both_large_dimensions(spark, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+    )
+    stored_trips = stage(cleaned(spark, SF_DIR), "cleaned")
+    text = plan(fact_table_broadcast(stored_trips, build_dims(stored_trips)))
+    assert len(re.findall(r"Exchange hashpartitioning\(pickup_datetime", text)) == 3
 
 
 def test_hot_moment_is_split_in_the_reports(spark, settings):
@@ -149,10 +165,10 @@ def test_hot_moment_is_split_in_the_reports(spark, settings):
     moments = spark.range(1, 20_001).withColumnRenamed("id", "datetime_id").withColumns(
         {"pickup_datetime": F.expr("timestamp '2021-01-01' + make_dt_interval(0, 0, datetime_id)"),
          "pickup_month": F.lit(1)}
-    )
-    distances = moments.select(F.col("datetime_id").alias("trip_distance_id")).withColumns(
-        {"trip_distance": F.lit(1.0), "trip_duration": F.lit(2.0)}
-    )
+    ).withColumn("dropoff_datetime", F.col("pickup_datetime"))
+    distances = moments.select(
+        F.col("datetime_id").alias("trip_distance_id"), "pickup_datetime", "dropoff_datetime"
+    ).withColumns({"trip_distance": F.lit(1.0), "trip_duration": F.lit(2.0)})
     dims = {
         "dim_datetime": stage(moments, "moments"),
         "dim_trip": stage(distances, "distances"),

@@ -104,6 +104,24 @@ def test_trip_unknown_to_one_dimension_keeps_its_other_keys(star, assemble):
     assert fact.filter("datetime_id IS NULL").count() == 0
 
 
+def test_reports_follow_a_fact_whose_times_disagree(star, spark):
+    trips, dims = star
+    fact = stage(fact_table(trips, dims), "fact")
+    top = dims["dim_datetime"].count()
+    moved = F.when(F.col("fare_amount") > 20, top + 1 - F.col("datetime_id")).otherwise(F.col("datetime_id"))
+    odd = stage(fact.withColumn("datetime_id", moved), "odd-fact")
+    places = spark.range(1, 266).selectExpr("int(id) AS LocationID", "string(id) AS Zone", "'t' AS Borough")
+    expected = odd.join(dims["dim_datetime"], "datetime_id").join(
+        dims["dim_trip"].select("trip_distance_id", "trip_distance"), "trip_distance_id"
+    )
+    columns = ["pickup_datetime", "trip_distance", "fare_amount"]
+    report = overview_report(odd, dims, places).select(
+        "pickup_datetime", F.col("Distance").alias("trip_distance"), F.col("Revenue").alias("fare_amount")
+    )
+    assert report.count() == odd.count()
+    assert report.exceptAll(expected.select(columns)).count() == 0
+
+
 def test_reports_drop_trips_outside_the_zones(star, spark):
     trips, dims = star
     fact = stage(fact_table(trips, dims), "fact")

@@ -22,10 +22,6 @@ from tripforge.sources.topics import read_topic
 from tripforge.streaming.jobs import start_landing_queries, start_ride_queries, supervise
 
 
-def _months(args: argparse.Namespace, base: str, extension: str) -> list[str]:
-    return ingest.month_paths(base, args.color, args.year, args.months, extension)
-
-
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     store = TableStore(spark, args.dataset, args.format)
     for name in batch.run_clean(store, args.input_table, args.mode):
@@ -66,13 +62,14 @@ def csv_to_parquet(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
-    paths = _months(args, args.input, "csv.gz")
-    ingest.land_months(spark, paths, args.color, args.output, args.mode)
+    ingest.land_months(
+        spark, args.input, args.color, args.output, args.year, args.months, args.mode
+    )
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
     store = TableStore(spark, args.dataset, args.format)
-    paths = _months(args, args.input, "parquet")
+    paths = ingest.month_paths(args.input, args.color, args.year, args.months, "parquet")
     print(f"Total rows: {ingest.append_months(spark, paths, store, args.table_name)}")
 
 

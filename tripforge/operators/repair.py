@@ -25,17 +25,26 @@ def time_columns(columns: list[str], service: str) -> list[str]:
     if service == schemas.FHV:
         # This service spells its dropoff column in two ways over the years.
         spellings = ("dropoff_datetime", "dropOff_datetime")
-        return ["pickup_datetime", next(c for c in spellings if c in columns)]
+        found = next((c for c in spellings if c in columns), None)
+        if found is None:
+            raise ValueError(f"none of the columns {spellings} is in the file")
+        return ["pickup_datetime", found]
     return list(schemas.SERVICE_TIMES[service])
 
 
 def repair_types(raw: DataFrame, service: str) -> DataFrame:
-    """Timestamps, nullable integers and booleans; each only where the column exists.
+    """Timestamps, numbers, nullable integers and booleans; each only where the column exists.
 
     Values that do not fit become null. An unknown flag is null too, not true.
     """
     times = time_columns(raw.columns, service)
-    fixes = {name: parse_timestamp(F.col(name)) for name in times}
+    layout = schemas.SERVICE_SCHEMAS.get(service, [])
+    fixes = {
+        field.name: F.col(field.name).try_cast(field.dataType)
+        for field in layout
+        if field.name in raw.columns and field.name not in times
+    }
+    fixes.update({name: parse_timestamp(F.col(name)) for name in times})
     fixes.update({c: whole_number(F.col(c)) for c in _WHOLE_NUMBERS if c in raw.columns})
     if _FLAG in raw.columns:
         fixes[_FLAG] = yes_no(F.col(_FLAG))

@@ -10,6 +10,32 @@ from tripforge.functions.codes import tip_band
 from tripforge.staging import broadcast_if_small, stage
 
 
+def _with_moments(
+    rows: DataFrame, dims: dict[str, DataFrame], times: list[str], distances: list[str]
+) -> DataFrame:
+    """Inner join of fact rows with both near-fact-size dimensions, one shuffle of the rows.
+
+    The two dimensions are narrow and meet first, on the time pair that both hold; the rows then
+    join once, on ``trip_distance_id``. Where a row's ``datetime_id`` is not the one of its
+    trip's time pair (not so in a star built from its own trips), it goes through both joins.
+    """
+    pair = ["pickup_datetime", "dropoff_datetime"]
+    by_id = dims["dim_datetime"].select("datetime_id", *times)
+    by_trip = dims["dim_trip"].select("trip_distance_id", *distances)
+    moments = (
+        dims["dim_trip"]
+        .select("trip_distance_id", *distances, *pair)
+        .join(dims["dim_datetime"].select(F.col("datetime_id").alias("own_id"), *{*times, *pair}), pair, "left")
+        .select("trip_distance_id", "own_id", *times, *distances)
+    )
+    joined = rows.join(moments, "trip_distance_id")
+    agrees = F.coalesce(F.col("datetime_id") == F.col("own_id"), F.lit(False))
+    same = joined.where(agrees).select(*rows.columns, *times, *distances)
+    other = joined.where(~agrees).select(*rows.columns)
+    apart = other.join(by_id, "datetime_id").join(by_trip, "trip_distance_id")
+    return same.union(apart.select(*same.columns))
+
+
 def overview_report(fact: DataFrame, dims: dict[str, DataFrame], zones: DataFrame) -> DataFrame:
     """One row per trip: riders, time, revenue, distance, service, payment, zone, rate.
 
@@ -22,28 +48,34 @@ def overview_report(fact: DataFrame, dims: dict[str, DataFrame], zones: DataFram
         .select("location_id", "Zone"),
         "places",
     )
-    return (
+    rows = (
         fact.join(broadcast_if_small(places), "location_id")
         .join(broadcast_if_small(dims["dim_passenger"]), "passenger_id")
         .join(broadcast_if_small(dims["dim_payment_type"]), "payment_id")
         .join(broadcast_if_small(dims["dim_rate"]), "rate_id")
-        .join(
-            dims["dim_datetime"].select("datetime_id", "pickup_datetime", "pickup_month"),
-            "datetime_id",
-        )
-        .join(dims["dim_trip"].select("trip_distance_id", "trip_distance"), "trip_distance_id")
         .select(
-            F.col("passenger_count").alias("NumPassengers"),
-            "pickup_datetime",
-            F.col("fare_amount").alias("Revenue"),
-            F.col("trip_distance").alias("Distance"),
-            F.col("service_type").alias("Service"),
-            F.col("payment_code").alias("Payment"),
+            "datetime_id",
+            "trip_distance_id",
+            "passenger_count",
+            "fare_amount",
+            "service_type",
+            "payment_code",
             "Zone",
-            F.col("pickup_month").alias("Month"),
-            F.col("rate_name").alias("Rate"),
+            "rate_name",
         )
     )
+    times, distances = ["pickup_datetime", "pickup_month"], ["trip_distance"]
+    return _with_moments(rows, dims, times, distances).select(
+        F.col("passenger_count").alias("NumPassengers"),
+        "pickup_datetime",
+        F.col("fare_amount").alias("Revenue"),
+        F.col("trip_distance").alias("Distance"),
+        F.col("service_type").alias("Service"),
+        F.col("payment_code").alias("Payment"),
+        "Zone",
+        F.col("pickup_month").alias("Month"),
+        F.col("rate_name").alias("Rate"),
+    )
 
 
 def routes(dim_location: DataFrame, zones: DataFrame) -> DataFrame:
@@ -64,25 +96,29 @@ def routes(dim_location: DataFrame, zones: DataFrame) -> DataFrame:
 def analytics_report(fact: DataFrame, dims: dict[str, DataFrame], zones: DataFrame) -> DataFrame:
     """One row per trip: route, hour, weekday, distance, duration, service, tip band."""
     named = stage(routes(dims["dim_location"], zones), "routes")
-    return (
-        fact.join(broadcast_if_small(named), "location_id")
-        .join(dims["dim_datetime"].select("datetime_id", "pickup_datetime"), "datetime_id")
-        .join(
-            dims["dim_trip"].select("trip_distance_id", "trip_distance", "trip_duration"),
-            "trip_distance_id",
-        )
-        .select(
-            "pickup_datetime",
-            "Zone",
-            "Borough",
-            "Route",
-            F.hour("pickup_datetime").alias("Hour"),
-            weekday_name("pickup_datetime").alias("Day"),
-            F.col("trip_distance").alias("Distance"),
-            F.col("trip_duration").alias("Duration"),
-            F.col("service_type").alias("Service"),
-            tip_band("tip_amount", "fare_amount", "tolls_amount").alias("TipRate"),
-        )
+    rows = fact.join(broadcast_if_small(named), "location_id").select(
+        "datetime_id",
+        "trip_distance_id",
+        "Zone",
+        "Borough",
+        "Route",
+        "service_type",
+        "tip_amount",
+        "fare_amount",
+        "tolls_amount",
+    )
+    times, distances = ["pickup_datetime"], ["trip_distance", "trip_duration"]
+    return _with_moments(rows, dims, times, distances).select(
+        "pickup_datetime",
+        "Zone",
+        "Borough",
+        "Route",
+        F.hour("pickup_datetime").alias("Hour"),
+        weekday_name("pickup_datetime").alias("Day"),
+        F.col("trip_distance").alias("Distance"),
+        F.col("trip_duration").alias("Duration"),
+        F.col("service_type").alias("Service"),
+        tip_band("tip_amount", "fare_amount", "tolls_amount").alias("TipRate"),
     )
 
 

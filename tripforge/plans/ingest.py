@@ -41,14 +41,41 @@ def csv_to_parquet(
     arranged.write.mode(mode).partitionBy("file_year", "file_month").parquet(output)
 
 
-def land_months(
-    spark: SparkSession, paths: list[str], service: str, output: str, mode: str = "errorifexists"
+def land_file(
+    spark: SparkSession, path: str, service: str, output: str, mode: str = "errorifexists"
 ) -> None:
-    """Repair the types of raw CSV files and land them as gzip Parquet."""
-    repaired = repair_types(read_text_csv(spark, paths), service)
+    """Repair the types of a raw CSV file and land it as gzip Parquet."""
+    repaired = repair_types(read_text_csv(spark, path), service)
     write_parquet(repaired.hint("rebalance"), output, mode=mode, compression="gzip")
 
 
+def land_months(
+    spark: SparkSession,
+    base: str,
+    service: str,
+    output: str,
+    year: int,
+    months: Iterable[int],
+    mode: str = "errorifexists",
+) -> None:
+    """Land each month on its own, where :func:`append_months` looks for it.
+
+    A month is read by its own header. Its Parquet folder is named as its CSV file.
+    """
+    months = list(months)
+    sources = month_paths(base, service, year, months, "csv.gz")
+    targets = month_paths(output, service, year, months, "parquet")
+    for source, target in zip(sources, targets):
+        land_file(spark, source, service, target, mode)
+
+
 def append_months(spark: SparkSession, paths: list[str], store: TableStore, table: str) -> int:
-    """Append landed Parquet months to a table in one job; rows loaded."""
-    return append_counted(read_parquet(spark, *paths), store, table)
+    """Append landed Parquet months to a table in one job; rows loaded.
+
+    Months are matched by column name; a column that a month lacks is null there.
+    """
+    months = [read_parquet(spark, path) for path in paths]
+    whole = months[0]
+    for month in months[1:]:
+        whole = whole.unionByName(month, allowMissingColumns=True)
+    return append_counted(whole, store, table)

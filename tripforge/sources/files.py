@@ -12,14 +12,24 @@ from pyspark.sql import types as T
 def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
     """CSV with a header and a fixed schema; a field that does not fit is null.
 
-    A gzip file is one task whatever its size, so land it as Parquet before real work.
+    A header with other names than the schema, or in another order, is an error. A gzip file is one task whatever its size, so land it as Parquet before real work.
     """
-    return spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(paths)
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    return reader.option("enforceSchema", False).schema(schema).csv(paths)
 
 
 def read_text_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """CSV with every column as text, named by the header; input for type repair."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(paths)
+    """CSV with every column as text, named by the header; input for type repair.
+
+    Each path is read by its own header, so files may differ in the order and the set of
+    their columns; a column that a file lacks is null there.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    frames = [reader.csv(path) for path in ([paths] if isinstance(paths, str) else paths)]
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.unionByName(frame, allowMissingColumns=True)
+    return whole
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
