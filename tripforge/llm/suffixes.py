@@ -46,7 +46,7 @@ from tripforge.staging import stage
 
 LENGTH, GRAM = 100, 32
 SAMPLE_ROWS, HOT_SHARE = 20_000, 0.01
-STEP = 3 << 20
+STEP = 1 << 20
 
 _U = np.uint64
 _LAST_ID = (1 << 63) - 1
@@ -315,6 +315,9 @@ def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             later = (id_[order] != id_[lead]) | (tie[order] != tie[lead]) | (place[order] != place[lead])
             picked = np.concatenate([order[new], order[later]])
             done = np.repeat([False, True], [new.sum(), later.sum()])
+            # In the order of the documents, so that their ids and places compress.
+            straight = np.argsort(picked)
+            picked, done = picked[straight], done[straight]
             # A removed window is spread by its place and marked by a start below zero.
             own = mix(tie[picked].view(np.uint64) + place[picked].astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
