@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -7,8 +9,9 @@ from pyspark.sql import functions as F
 from tripforge.operators.messages import parse_delimited
 from tripforge.sources.files import read_parquet
 from tripforge.sources.topics import read_message_files, read_topic, topic_options
-from tripforge.streaming.counts import count_by
+from tripforge.streaming.counts import count_by, windowed_count
 from tripforge.streaming.jobs import (
+    PICKUP,
     rides_from,
     start_landing_queries,
     start_ride_queries,
@@ -182,9 +185,43 @@ def test_memory_answer_sees_the_first_batch(spark, folder):
 def test_console_sink_runs(spark, folder):
     add_file(spark, folder("in"), message())
     counts = count_by(parse_delimited(read_message_files(spark, folder("in"))), ["vendor_id"])
-    query = console_sink(counts, trigger=None)
+    query = console_sink(counts, folder("ck"), trigger=None)
     run(query)
     assert query.exception() is None
+    assert os.path.exists(folder("ck"))
+
+
+def test_console_takes_only_the_rows_it_prints(spark, folder, capsys):
+    add_file(spark, folder("in"), *[message(zone=zone) for zone in range(1, 60)])
+    rides = parse_delimited(read_message_files(spark, folder("in")))
+    run(console_sink(rides, folder("ck"), "append", trigger=None, rows=3))
+    assert "only showing top 3 rows" in capsys.readouterr().out
+
+
+def test_processing_time_trigger_runs_batch_after_batch(spark, folder):
+    add_file(spark, folder("in"), message())
+    rides = parse_delimited(read_message_files(spark, folder("in")))
+    query = file_sink(rides, folder("out"), folder("ck"), trigger="100 milliseconds")
+    query.processAllAvailable()
+    add_file(spark, folder("in"), message(), message())
+    query.processAllAvailable()
+    query.stop()
+    assert read_parquet(spark, folder("out")).count() == 3
+    assert query.lastProgress is not None
+
+
+def test_file_count_does_not_change_what_a_watermark_drops(spark, folder):
+    """Without a limit of files, all of the input is one batch however it is cut."""
+    for hour in range(12):
+        add_file(spark, folder("in"), message(pickup=f"2021-01-05 {hour:02d}:00:00"))
+    counts = []
+    for name, limit in (("one", None), ("many", 1)):
+        rides = rides_from(read_message_files(spark, folder("in"), limit))
+        windows = windowed_count(rides, PICKUP, ["vendor_id"], "10 minutes", "10 minutes", "1 hour")
+        run(file_sink(windows.drop("window"), folder(name), folder(f"ck-{name}"), None, trigger=None))
+        counts.append(read_parquet(spark, folder(name)).count())
+    # Files in the order of event time: batches of one file drop nothing either.
+    assert counts[0] == counts[1] > 0
 
 
 def test_topic_options():

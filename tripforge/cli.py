@@ -101,7 +101,13 @@ def stream_landing(spark: SparkSession, args: argparse.Namespace) -> None:
     supervise(
         spark,
         lambda: start_landing_queries(
-            messages, args.output, args.table, checkpoints, args.format, args.trigger
+            messages,
+            args.output,
+            args.table,
+            checkpoints,
+            args.format,
+            args.trigger,
+            spread=args.spread,
         ),
     )
 
@@ -184,6 +190,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("--output", "--table", "--checkpoint"):
         sub.add_argument(name, required=True)
     sub.add_argument("--format", help="connector of the table; the catalog without it")
+    sub.add_argument("--spread", type=int, default=8, help="tasks that one zone is spread over")
     return top
 
 

@@ -14,7 +14,7 @@ from tripforge.operators.quality import clean
 from tripforge.operators.reports import analytics_report, overview_report
 from tripforge.operators.revenue import monthly_revenue
 from tripforge.operators.unify import to_common, unify
-from tripforge.sinks.files import write_by_date, write_single_file
+from tripforge.sinks.files import with_date, write_single_file
 from tripforge.sources.files import read_parquet
 from tripforge.sources.tables import TableStore
 
@@ -39,7 +39,8 @@ def run_clean(store: TableStore, input_table: str, mode: str = "errorifexists")
     """
     if input_table.startswith("all"):
         raw = {s: store.read(RAW.format(service=s)) for s in SERVICES}
-        store.write(clean_all(raw), ALL_CLEANED, mode)
+        # By service, so that each cut below reads its own part only.
+        store.write(clean_all(raw), ALL_CLEANED, mode, partition_by="service_type")
         cleaned = store.read(ALL_CLEANED)
         for service in SERVICES:
             part = cleaned.filter(F.col("service_type") == service)
@@ -108,11 +109,12 @@ def trips_from_paths(spark: SparkSession, green: str, yellow: str) -> DataFrame:
 
 
 def run_reports(store: TableStore, output: str, mode: str = "overwrite") -> list[str]:
-    """Both report tables, partitioned by pickup date, as Parquet below ``output``."""
+    """Both report tables, partitioned by pickup date: tables of the store at ``output``."""
+    target = TableStore(store.spark, output, store.fmt)
     fact, zones = store.read(FACT), store.read(ZONES)
     dims = store.read_all(list(DIMENSIONS))
     reports = {"overview_report": overview_report, "analytics_report": analytics_report}
     for name, report in reports.items():
-        rows = report(fact, dims, zones)
-        write_by_date(rows, f"{output.rstrip('/')}/{name}", "pickup_datetime", mode=mode)
+        rows = with_date(report(fact, dims, zones), "pickup_datetime")
+        target.write(rows, name, mode, partition_by="pickup_date")
     return list(reports)

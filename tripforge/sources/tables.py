@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-_FILE_FORMATS = {"parquet", "orc", "json", "csv"}
+# Formats that keep the columns' names and types.
+_FILE_FORMATS = {"parquet", "orc"}
 CATALOG = "catalog"
 
 
@@ -36,10 +37,26 @@ class TableStore:
         return reader.option("table", self.address(name)).load()
 
     def write(
-        self, df: DataFrame, name: str, mode: str = "errorifexists", **options: str | int
+        self,
+        df: DataFrame,
+        name: str,
+        mode: str = "errorifexists",
+        partition_by: str | None = None,
+        cluster_by: tuple[str, ...] = (),
+        **options: str | int,
     ) -> None:
+        """Write a table, by partitions if asked; ``cluster_by`` sorts within each file.
+
+        REBALANCE brings a partition's rows together, and AQE splits one that is large.
+        """
+        if partition_by:
+            df = df.hint("rebalance", partition_by)
+        if cluster_by:
+            df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *cluster_by)
         writer = df.write.format("parquet" if self.fmt == CATALOG else self.fmt)
         writer = writer.mode(mode).options(**options)
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
         if self.fmt == CATALOG:
             writer.saveAsTable(self.address(name))
         elif self.fmt in _FILE_FORMATS:

@@ -46,8 +46,13 @@ def start_ride_queries(
     """Raw rides and vendor counts on the console, window counts to a topic."""
     rides = rides_from(messages)
     return [
-        console_sink(rides, "append", trigger),
-        console_sink(count_by(rides, ["vendor_id"]), "complete", trigger),
+        console_sink(rides, new_checkpoint(rides, f"rides-{topic}"), "append", trigger),
+        console_sink(
+            count_by(rides, ["vendor_id"]),
+            new_checkpoint(rides, f"vendors-{topic}"),
+            "complete",
+            trigger,
+        ),
         topic_sink(
             windowed_vendor_messages(rides, watermark),
             servers,
@@ -73,7 +78,7 @@ def start_landing_queries(
 
     Each query reads the source itself, so that one can fail or lag without the other.
     """
-    rides = parse_delimited(messages)
+    rides = rides_from(messages)
     return [
         file_sink(rides, path, checkpoints[0], trigger=trigger, spread=spread),
         table_sink(rides, table, checkpoints[1], fmt=fmt, trigger=trigger, path=table_path),

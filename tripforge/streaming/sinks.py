@@ -20,10 +20,19 @@ def _writer(df: DataFrame, mode: str, trigger: str | None, checkpoint: str | Non
 
 
 def console_sink(
-    df: DataFrame, mode: str = "complete", trigger: str | None = FIVE_SECONDS, rows: int = 20
+    df: DataFrame,
+    checkpoint: str,
+    mode: str = "complete",
+    trigger: str | None = FIVE_SECONDS,
+    rows: int = 20,
 ) -> StreamingQuery:
-    writer = _writer(df, mode, trigger, None).format("console")
-    return writer.option("truncate", False).option("numRows", rows).start()
+    """Print the first rows of each batch; no more than those reach the driver."""
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"Batch {batch_id}")
+        batch.show(rows, truncate=False)
+
+    return _writer(df, mode, trigger, checkpoint).foreachBatch(show).start()
 
 
 def memory_sink(
