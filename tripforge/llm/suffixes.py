@@ -50,7 +50,7 @@ STEP = 1 << 20
 
 _U = np.uint64
 _LAST_ID = (1 << 63) - 1
-_SPREAD = GRAM and LENGTH - GRAM + 1  # windows that can share an anchor
+_SPREAD = LENGTH - GRAM + 1  # windows that can share an anchor
 _SIDE = (LENGTH - GRAM) // 2  # a shared window shares so many bytes on one side of the anchor
 _HIGH = _U(0xFFFFFFFF00000000)
 _OTHER_BYTES = seeds(256, 21)
@@ -232,14 +232,16 @@ def _segments_of(ids, ties, texts: pa.Array, hot: np.ndarray) -> dict[str, np.nd
     asked, kept = kept[is_hot], kept[~is_hot]
     picked = np.concatenate([kept, removed, asked])
     kind = np.repeat([_SEGMENT, _REMOVED, _ASKED], [len(kept), len(removed), len(asked)])
-    # Rows that are already decided are spread by their own place.
+    # Rows that are already decided are spread by their own place, and marked by an anchor's place
+    # beyond any other: 126 if removed, 127 if asked.
+    decided = _pack(start, count, np.full(len(start), 126), *sides)
     own = mix(ties[document[picked]].view(np.uint64) + start[picked].astype(np.uint64))
     return {
         "route": np.where(kind == _SEGMENT, hashes[picked], own).view(np.int64),
         "content": np.where(kind == _SEGMENT, content[picked], kind.astype(np.uint64)).view(np.int64),
         "id": ids[document[picked]],
         "tie": ties[document[picked]],
-        "meta": np.where(kind == _SEGMENT, meta[picked], _pack(start, count, np.full(len(start), 126), *sides)[picked] + ((kind == _ASKED).astype(np.int64) << 18)),
+        "meta": np.where(kind == _SEGMENT, meta[picked], decided[picked] + ((kind == _ASKED).astype(np.int64) << 18)),
     }
 
 
