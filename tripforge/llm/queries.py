@@ -128,9 +128,64 @@ URL_RULES = [
 ]
 
 
-@query("op2_urls")
+OP2_SQL = r"""
+WITH RECURSIVE p AS (
+  SELECT page_id, url, html, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') AS raw_host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), tags AS (
+  SELECT url, regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS ref
+  FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*>')) AS t FROM p)
+  WHERE regexp_matches(t, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')
+  UNION ALL
+  SELECT url, regexp_extract(t, '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1)
+  FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*>')) AS t FROM p)
+  WHERE regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')
+), named AS (
+  SELECT url, CASE WHEN ref LIKE '%://%' THEN ref
+    WHEN ref LIKE '//%' THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || ref
+    WHEN ref LIKE '/%' THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || ref
+    WHEN ref LIKE '?%' THEN regexp_extract(url, '(?s)^(.*?://[^?#]*)', 1) || ref
+    WHEN ref <> '' AND ref NOT LIKE '#%'
+      THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)', 1) || ref END AS target
+  FROM (SELECT url, replace(ref, '&amp;', '&') AS ref FROM tags)
+), addresses AS (
+  SELECT u, lower(regexp_extract(u, '(?s)^(.*?://[^/?#]*)', 1)) AS start, regexp_extract(u, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS rest
+  FROM (SELECT url AS u FROM p UNION SELECT target FROM named)
+), nodes AS (
+  SELECT u, start || CASE WHEN rest LIKE '/%' THEN rest ELSE '/' || rest END AS node FROM addresses WHERE start <> ''
+), rules (rule, verdict, host, path) AS (
+  VALUES ('net/', 'block', 'net', '/'), ('example.net/en/', 'allow', 'example.net', '/en/'),
+    ('example.com/de/', 'block', 'example.com', '/de/'), ('org/fr/', 'allow', 'org', '/fr/')
+), edges AS (
+  SELECT x.node AS a, y.node AS b FROM named JOIN nodes x ON url = x.u JOIN nodes y ON target = y.u WHERE x.node <> y.node
+), ways AS (
+  SELECT a, b FROM edges UNION SELECT b, a FROM edges
+), judged AS (
+  SELECT node, arg_max(verdict, length(rule)) AS verdict
+  FROM (SELECT DISTINCT node, regexp_extract(node, '://([^/?#]*)', 1) AS h, regexp_extract(node, '://[^/?#]*([^?#]*)', 1) AS q FROM nodes)
+    JOIN rules ON (h = host OR ends_with(h, '.' || host)) AND starts_with(q, path)
+  GROUP BY node
+), reach AS (
+  SELECT node FROM judged WHERE verdict = 'block' AND node IN (SELECT a FROM ways)
+  UNION
+  SELECT b FROM reach JOIN ways ON node = a
+), own AS (
+  SELECT page_id, url, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM p
+), best AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM own JOIN rules ON (own.host = rules.host OR ends_with(own.host, '.' || rules.host)) AND starts_with(own.path, rules.path)
+  GROUP BY page_id
+)
+SELECT page_id, host, path, rule,
+  coalesce(verdict, CASE WHEN node IN (SELECT node FROM reach) THEN 'block' ELSE 'allow' END) AS verdict,
+  CASE WHEN rule IS NOT NULL THEN 'rule' WHEN node IN (SELECT node FROM reach) THEN 'alias' ELSE 'default' END AS reason
+FROM own LEFT JOIN best USING (page_id) LEFT JOIN nodes ON url = u
+"""
+
+
+@query("op2_urls", OP2_SQL)
 def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components are iterative, so there is no SQL; tests hold it against a plain union-find."""
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, ["page_id"])
 
 
@@ -184,16 +239,66 @@ def op7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
-@query("op8_minhash")
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (g) WHERE x.doc_id < y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * c >= 80 * (x.n + y.n - c)
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM d
+  UNION
+  SELECT reach.doc_id, ways.b FROM reach JOIN ways ON reach.r = ways.a
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query("op8_minhash", OP8_SQL)
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components are iterative, so there is no SQL; tests hold it against all pairs."""
     found = minhash.cluster(table(spark, sf_dir, "documents"), size=2)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
-@query("op9_suffixes")
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), w AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s
+  FROM (SELECT doc_id, h, unnest(range(n - 99)) AS p FROM d WHERE n >= 100)
+), repeated AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w) WHERE k > 1
+), gone AS (
+  SELECT doc_id, p, p + 100 AS q, max(p + 100) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+  FROM repeated
+), runs AS (
+  SELECT doc_id, min(p) AS a, max(q) AS b
+  FROM (SELECT *, sum(CASE WHEN reach >= p THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM gone)
+  GROUP BY doc_id, run
+), listed AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS firsts, list(b ORDER BY a) AS lasts
+  FROM runs GROUP BY 1
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(array_to_string(list_transform(range(coalesce(n_spans, 0) + 1),
+    lambda i: substr(h, 2 * coalesce(lasts[i], 0) + 1, 2 * (coalesce(firsts[i + 1], n) - coalesce(lasts[i], 0)))), ''))) AS kept_sha256
+FROM d LEFT JOIN listed USING (doc_id)
+"""
+
+
+@query("op9_suffixes", OP9_SQL)
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every 100-byte string of the table by SQL would be too slow; tests hold it against a dictionary."""
     found = suffixes.cut(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     return found.select(
