@@ -275,7 +275,11 @@ def test_cross_pairs_are_complete_at_any_block_size(spark, monkeypatch):
     ]
     schema = "key long, band int, class binary, component binary, n_shingles long, short binary"
     df = spark.createDataFrame(members, schema)
-    got = {(bytes(r["a"]), bytes(r["b"])) for r in minhash._cross_pairs(df, minhash.THRESHOLD).collect()}
+    rows = minhash._cross_pairs(df, minhash.THRESHOLD).collect()
+    got = {tuple(sorted((bytes(r["class"]), bytes(p)))) for r in rows for p in r["partners"]}
+    places = {(r["key"], r["block"], r["part"], bytes(r["class"])) for r in rows}
+    assert len(places) == len(rows)
+    assert all((r["key"], r["block"], r["part"], bytes(p)) in places for r in rows for p in r["partners"])
     expected = {(bytes([i]), bytes([j])) for i in range(20) for j in range(i + 1, 20) if j >= 12}
     assert got == expected
 

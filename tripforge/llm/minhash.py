@@ -135,7 +135,10 @@ def sketch(df: DataFrame, keep: list[str], text: str, size: int) -> DataFrame:
 
 def similar(a: str, b: str, size: int, threshold: Fraction) -> bool:
     """Whether two texts' whole shingle sets are at least so similar."""
-    one, two = (_shingles(t, size) for t in (a, b))
+    return _alike(_shingles(a, size), _shingles(b, size), threshold)
+
+
+def _alike(one: set, two: set, threshold: Fraction) -> bool:
     common = len(one & two)
     return common * threshold.denominator >= (len(one) + len(two) - common) * threshold.numerator
 
@@ -173,10 +176,14 @@ def _verified(
     return stage(compared.distinct(), name)
 
 
+_GROUP = ["key", "block", "part"]
+
+
 def _cross_pairs(members: DataFrame, threshold: Fraction) -> DataFrame:
-    """Distinct pairs of classes in one bucket, in different components, that may be similar.
+    """Pairs of classes in one bucket, in different components, that may be similar.
 
     ``members``: (key, band, class, component, n_shingles, short) of buckets with several components.
+    One row for each class of a group that is in a pair, with the classes it is to be compared with.
     """
     by_component = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     buckets = by_component.groupBy("key").agg(
@@ -215,19 +222,48 @@ def _cross_pairs(members: DataFrame, threshold: Fraction) -> DataFrame:
         components_ = np.unique(group["component"].to_numpy(), return_inverse=True)[1]
         sizes = group["n_shingles"].to_numpy(float)
         short = np.frombuffer(b"".join(group["short"]), np.uint8).reshape(len(group), -1)
-        hosts, found = np.flatnonzero(~guest), []
+        hosts, found = np.flatnonzero(~guest), {}
         for g in np.flatnonzero(guest):
             other = hosts[components_[hosts] != components_[g]]
             other = other[np.minimum(sizes[other], sizes[g]) >= share * np.maximum(sizes[other], sizes[g])]
             same = short[other] == short[g]
             near = same.mean(axis=1) >= least
             first = same[near, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-            for h in other[near][first == band]:
-                found.append((min(classes[h], classes[g]), max(classes[h], classes[g])))
-        return pd.DataFrame(found, columns=["a", "b"])
+            partners = [classes[h] for h in other[near][first == band]]
+            if partners:
+                found.setdefault(classes[g], []).extend(partners)
+                for partner in partners:
+                    found.setdefault(partner, [])
+        place = group[_GROUP].iloc[0].tolist() if len(group) else []
+        return pd.DataFrame([(*place, c, p) for c, p in found.items()], columns=[*_GROUP, "class", "partners"])
 
-    groups = bound_batches(hosts.union(guests)).groupBy("key", "block", "part")
-    return groups.applyInPandas(meet, "a binary, b binary").distinct()
+    groups = bound_batches(hosts.union(guests)).groupBy(*_GROUP)
+    return groups.applyInPandas(meet, "key long, block int, part int, class binary, partners array<binary>")
+
+
+def _cross_links(
+    pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, threshold: Fraction, name: str
+) -> DataFrame:
+    """Those of the pairs whose sets, from the texts, are similar; written.
+
+    The texts of a group's classes meet in its task, a block of hosts and one of outsiders at most, so pairs are
+    compared there and only links become rows.
+    """
+    named = pairs.join(classes.select("class", "row"), "class").join(texts.select("row", "text"), "row")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        sets = {c: _shingles(t, size) for c, t in zip(group["class"], group["text"])}
+        lists = dict(zip(group["class"], group["partners"]))
+        links = [
+            (min(a, b), max(a, b))
+            for a, partners in lists.items()
+            for b in partners
+            if _alike(sets[a], sets[b], threshold)
+        ]
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    held = bound_batches(named).select(*_GROUP, "class", "partners", "text").groupBy(*_GROUP)
+    return stage(held.applyInPandas(compare, "a binary, b binary").distinct(), name)
 
 
 def row_digest(id_column: str, text: str) -> Column:
@@ -301,10 +337,8 @@ def cluster(
         ),
         "mixed-members",
     )
-    second = stage(
-        _cross_pairs(members_of_mixed, threshold).join(first, ["a", "b"], "left_anti"), "second-pairs"
-    )
-    more = _verified(second, classes, source, size, threshold, "second-links")
+    second = stage(_cross_pairs(members_of_mixed, threshold), "second-pairs")
+    more = _cross_links(second, classes, source, size, threshold, "second-links")
     if not more.isEmpty():
         nodes = stage(components(links.union(more), "near-components"), "near-nodes")
 
