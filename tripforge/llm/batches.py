@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,24 @@ def bound_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within, shuffle files go when the write that needed them has ended.
+
+    Else they stay on disk until the driver happens to collect its garbage. For writes only: nothing may read
+    such a shuffle later.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts one after another, and len + 1 offsets; a null has no bytes."""
     if texts.null_count:

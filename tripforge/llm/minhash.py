@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripforge.llm.batches import bound_batches, map_texts, utf8
+from tripforge.llm.batches import bound_batches, dropping_shuffles, map_texts, utf8
 from tripforge.llm.graph import components
 from tripforge.llm.hashing import NOT_SPACE, Words, lower_ascii, mix, seeds
 from tripforge.staging import stage
@@ -292,17 +292,10 @@ def _in_components(classes: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.withColumn("component", F.coalesce("component", "class"))
 
 
-def cluster(
-    df: DataFrame,
-    id_column: str = "doc_id",
-    text: str = "text",
-    size: int = SHINGLE_WORDS,
-    threshold: Fraction = THRESHOLD,
-) -> DataFrame:
-    """(id, row, n_shingles, component_id, kept) of every row; ``row`` is a digest of id and text."""
-    # Row digests tell apart rows that repeat an id with another text.
-    source = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    source = source.select("id", row_digest("id", "text").alias("row"), "text")
+def _class_components(
+    source: DataFrame, size: int, threshold: Fraction
+) -> tuple[DataFrame, DataFrame]:
+    """The written rows with their classes, and (class, id, component) of every class."""
     rows = stage(sketch(source, ["id", "row"], "text", size), "sketches")
     of_class = F.min(F.struct("row", "n_shingles", "bands", "short")).alias("one")
     classes = stage(
@@ -343,6 +336,22 @@ def cluster(
         nodes = stage(components(links.union(more), "near-components"), "near-nodes")
 
     linked = stage(_in_components(classes.select("class", "id"), nodes), "class-components")
+    return rows, linked
+
+
+def cluster(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    size: int = SHINGLE_WORDS,
+    threshold: Fraction = THRESHOLD,
+) -> DataFrame:
+    """(id, row, n_shingles, component_id, kept) of every row; ``row`` is a digest of id and text."""
+    # Row digests tell apart rows that repeat an id with another text.
+    source = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    source = source.select("id", row_digest("id", "text").alias("row"), "text")
+    with dropping_shuffles(df.sparkSession):
+        rows, linked = _class_components(source, size, threshold)
     least = linked.groupBy("component").agg(F.min("id").alias("component_id"))
     named = linked.join(least, "component").select("class", "component_id")
     found = rows.select("id", "row", "n_shingles", "class").join(named, "class", "left")

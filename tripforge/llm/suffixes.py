@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripforge.llm.batches import bound_batches, steps, utf8
+from tripforge.llm.batches import bound_batches, dropping_shuffles, steps, utf8
 from tripforge.llm.hashing import between, byte_hashes, mix, prefix_hashes, seeds
 from tripforge.staging import stage
 
@@ -415,10 +415,9 @@ def find_repeats(documents: DataFrame) -> DataFrame:
                 rows = _segments_of(*(step.column(i).to_numpy() for i in (0, 1)), step.column(2), hot.value)
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in rows.values()], names=list(rows))
 
-    resolved = stage(
-        bound_batches(documents).mapInArrow(segments, _ROWS).repartition("route").mapInArrow(_resolve, _SPANS),
-        "repeats",
-    )
+    rows = bound_batches(documents).mapInArrow(segments, _ROWS)
+    with dropping_shuffles(documents.sparkSession):
+        resolved = stage(rows.repartition("route").mapInArrow(_resolve, _SPANS), "repeats")
     asked = resolved.where("asked").groupBy("id", "tie").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     windows = documents.join(asked, ["id", "tie"]).mapInArrow(_windows_of, _WINDOWS)
     more = windows.repartition("route").mapInArrow(_repeated_windows, _SPANS)
