@@ -27,11 +27,12 @@ def documents_of(spark, folder=SMALL):
     return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
 
 
-# --- exact search
+@pytest.mark.parametrize("name", ["op2_urls", "op7_search", "op8_minhash", "op9_suffixes"])
+def test_query_equals_sql(spark, name):
+    assert spark_rows(QUERIES[name](spark, SMALL)) == sql_rows(connect(SMALL), ORACLES[name])
 
 
-def test_search_equals_sql(spark):
-    assert spark_rows(QUERIES["op7_search"](spark, SMALL)) == sql_rows(connect(SMALL), ORACLES["op7_search"])
+# --- exact search
 
 
 def brute_force(rows, queries, k):
