@@ -220,6 +220,13 @@ def test_readme_commands_land_and_load(spark, store, write_csv, tmp_path, capsys
     assert store.read("yellow_trips_data_cleaned").count() == 1
 
 
+def test_zones_are_loaded(spark, store, tmp_path):
+    (tmp_path / "zones.csv").write_text("LocationID,Zone,Borough\n10,A,X\n20,B,Y\n")
+    main(["zones", "--input", str(tmp_path / "zones.csv"), "--dataset", store.location])
+    rows = sorted(tuple(r) for r in store.read("zones").collect())
+    assert rows == [(10, "A", "X"), (20, "B", "Y")]
+
+
 def test_arguments():
     args = parser().parse_args(["load", "--input", "in", "--dataset", "d"])
     assert (args.months, args.year, args.color, args.table_name) == ([1, 2], 2021, "yellow", "rides")

@@ -6,7 +6,12 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tripforge.operators.messages import parse_delimited
+from tripforge.operators.messages import (
+    parse_delimited,
+    parse_json,
+    to_json_messages,
+    to_json_rides,
+)
 from tripforge.sources.files import read_parquet
 from tripforge.sources.topics import read_message_files, read_topic, topic_options
 from tripforge.streaming.counts import count_by, windowed_count
@@ -182,6 +187,15 @@ def test_memory_answer_sees_the_first_batch(spark, folder):
     assert answer.first()["n"] == 2
 
 
+def test_json_rides_are_counted(spark, folder):
+    rides = parse_delimited(spark.createDataFrame([message(), message(vendor=2), message()], "key string, value string"))
+    to_json_messages(to_json_rides(rides), "pu_location_id").write.parquet(folder("in"))
+    counts = count_by(rides_from(read_message_files(spark, folder("in")), parse_json), ["vendor_id"])
+    run(snapshot_sink(counts, folder("out"), folder("ck"), trigger=None))
+    got = {(r["vendor_id"], r["count"]) for r in read_parquet(spark, snapshot_path(folder("out"), 0)).collect()}
+    assert got == {("1", 2), ("2", 1)}
+
+
 def test_console_sink_runs(spark, folder):
     add_file(spark, folder("in"), message())
     counts = count_by(parse_delimited(read_message_files(spark, folder("in"))), ["vendor_id"])

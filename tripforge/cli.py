@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 from tripforge import schemas
 from tripforge.operators.messages import (
     first_messages,
+    parse_delimited,
+    parse_json,
     to_delimited_messages,
     to_json_messages,
     to_json_rides,
@@ -16,7 +18,7 @@ from tripforge.operators.messages import (
 from tripforge.plans import batch, ingest
 from tripforge.session import build_session
 from tripforge.sinks.files import publish
-from tripforge.sources.files import read_text_csv
+from tripforge.sources.files import read_csv, read_text_csv
 from tripforge.sources.tables import TableStore
 from tripforge.sources.topics import read_topic
 from tripforge.streaming.jobs import start_landing_queries, start_ride_queries, supervise
@@ -55,6 +57,11 @@ def reports(spark: SparkSession, args: argparse.Namespace) -> None:
     batch.run_reports(TableStore(spark, args.dataset, args.format), args.output, args.mode)
 
 
+def load_zones(spark: SparkSession, args: argparse.Namespace) -> None:
+    zones = read_csv(spark, args.input, schemas.ZONES_SCHEMA)
+    TableStore(spark, args.dataset, args.format).write(zones, batch.ZONES, args.mode)
+
+
 def csv_to_parquet(spark: SparkSession, args: argparse.Namespace) -> None:
     ingest.csv_to_parquet(
         spark, args.color, args.input, args.output, args.years, args.months, mode=args.mode
@@ -90,7 +97,12 @@ def stream_counts(spark: SparkSession, args: argparse.Namespace) -> None:
     supervise(
         spark,
         lambda: start_ride_queries(
-            messages, args.servers, args.output_topic, args.trigger, args.watermark
+            messages,
+            args.servers,
+            args.output_topic,
+            args.trigger,
+            args.watermark,
+            parse_json if args.json else parse_delimited,
         ),
     )
 
@@ -157,6 +169,10 @@ def parser() -> argparse.ArgumentParser:
     tables(sub)
     sub.add_argument("--output", required=True)
 
+    sub = job("zones", load_zones, mode="overwrite")
+    tables(sub)
+    sub.add_argument("--input", required=True, help="CSV of LocationID, Zone, Borough")
+
     sub = job("csv-to-parquet", csv_to_parquet)
     months(sub, list(range(1, 13)))
     sub.add_argument("--years", type=int, nargs="+", required=True)
@@ -183,7 +199,8 @@ def parser() -> argparse.ArgumentParser:
     sub = job("stream-counts", stream_counts, mode=None)
     topic(sub)
     sub.add_argument("--output_topic", required=True)
-    sub.add_argument("--watermark")
+    sub.add_argument("--watermark", help="how late rides may come; without it all windows are kept")
+    sub.add_argument("--json", action="store_true", help="messages are JSON rides")
 
     sub = job("stream-landing", stream_landing, mode=None)
     topic(sub)

@@ -21,9 +21,15 @@ from tripforge.streaming.sinks import (
 PICKUP = "tpep_pickup_datetime"
 
 
-def rides_from(messages: DataFrame) -> DataFrame:
-    """Parsed rides, with rejected messages counted in the query progress."""
-    return observe_rejects(parse_delimited(messages), PICKUP)
+Parse = Callable[[DataFrame], DataFrame]
+
+
+def rides_from(messages: DataFrame, parse: Parse = parse_delimited) -> DataFrame:
+    """Parsed rides, with rejected messages counted in the query progress.
+
+    ``parse`` is ``parse_delimited`` or ``parse_json``, as the topic carries them.
+    """
+    return observe_rejects(parse(messages), PICKUP)
 
 
 def windowed_vendor_counts(rides: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -42,9 +48,10 @@ def start_ride_queries(
     topic: str,
     trigger: str | None = FIVE_SECONDS,
     watermark: str | None = None,
+    parse: Parse = parse_delimited,
 ) -> list[StreamingQuery]:
     """Raw rides and vendor counts on the console, window counts to a topic."""
-    rides = rides_from(messages)
+    rides = rides_from(messages, parse)
     return [
         console_sink(rides, new_checkpoint(rides, f"rides-{topic}"), "append", trigger),
         console_sink(
