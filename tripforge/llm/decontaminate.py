@@ -5,9 +5,9 @@ A task reads a document's words as bytes, takes the hash of each of its own wind
 hashes, and looks it up; a hit counts only when the words themselves agree. Every document word
 inside an occurring window is hit.
 
-The benchmark is cut into blocks of at most ``BLOCK_BYTES`` of text, by a check of its size; each
-block is broadcast on its own and scanned in the same pass over the documents, so a larger benchmark
-costs more passes of the scan, never more memory. No document is shuffled.
+The benchmark is cut into blocks of at most ``BLOCK_BYTES`` of text (or one item), by a check of its size. A
+benchmark of one block is broadcast and looked up in one pass over the documents. A larger one takes a pass for
+each block, written before the next, so it costs more passes and never more memory. No document is shuffled.
 
 Defined results: a null or word-less text has no words, no hit and is not contaminated; an item that
 is null or without words has no window; repeated items and equal items each count as an item, repeated
@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from tripforge.llm.batches import bound_batches, map_texts, utf8
 from tripforge.llm.hashing import ALNUM, Words, between, lower_ascii, mix, prefix_hashes
+from tripforge.staging import stage
 
 WINDOW_WORDS = 13
 #: A document is contaminated if it has a hit and at least one in so many of its words is hit.
@@ -116,40 +117,56 @@ def find_hits(
     spark = documents.sparkSession
     fields = [
         T.StructField("n_words", T.LongType()),
-        T.StructField("hit_spans", T.ArrayType(T.ArrayType(T.LongType()))),
-        T.StructField("item_ids", T.ArrayType(T.StringType())),
-    ]
-    parts = [
-        spark.sparkContext.broadcast(block)
-        for block in _blocks(benchmark, item_id, item_text, window_words, block_bytes)
+        T.StructField("new_spans", T.ArrayType(T.ArrayType(T.LongType()))),
+        T.StructField("new_items", T.ArrayType(T.StringType())),
     ]
 
-    def compute(texts: pa.Array) -> list[pa.Array]:
-        words = _words(texts)
-        sums = prefix_hashes(words.hashes())
-        spans: list[list] = [[] for _ in range(len(texts))]
-        items: list[set] = [set() for _ in range(len(texts))]
-        for part in parts:
-            for start, length, found in part.value.scan(words, sums):
+    def lookup(block: _Windows):
+        shared = spark.sparkContext.broadcast(block)
+
+        def compute(texts: pa.Array) -> list[pa.Array]:
+            words = _words(texts)
+            sums = prefix_hashes(words.hashes())
+            spans: list[list] = [[] for _ in range(len(texts))]
+            items: list[set] = [set() for _ in range(len(texts))]
+            for start, length, found in shared.value.scan(words, sums):
                 row = int(np.searchsorted(words.first, start, "right")) - 1
                 begin = start - int(words.first[row])
                 spans[row].append([begin, begin + length])
                 items[row].update(map(str, found))
-        return [
-            pa.array(words.counts, pa.int64()),
-            pa.array([sorted(s) for s in spans], pa.list_(pa.list_(pa.int64()))),
-            pa.array([sorted(i) for i in items], pa.list_(pa.string())),
-        ]
-
-    return map_texts(documents, keep, text, fields, compute)
-
-
-def _covered(spans) -> int:
-    total = reach = 0
-    for first, last in spans:
-        total += max(0, last - max(first, reach))
-        reach = max(reach, last)
-    return total
+            return [
+                pa.array(words.counts, pa.int64()),
+                pa.array([sorted(s) for s in spans], pa.list_(pa.list_(pa.int64()))),
+                pa.array([sorted(i) for i in items], pa.list_(pa.string())),
+            ]
+
+        return compute
+
+    kept = [f"k{i}" for i in range(len(keep))]
+    scanned = documents.select(
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept)],
+        F.col(f"`{text}`").cast("string").alias("text"),
+        F.array().cast("array<array<bigint>>").alias("hit_spans"),
+        F.array().cast("array<string>").alias("item_ids"),
+    )
+    blocks = _blocks(benchmark, item_id, item_text, window_words, block_bytes)
+    block = next(blocks)
+    while block is not None:
+        following = next(blocks, None)
+        carried = [*kept, "hit_spans", "item_ids", *(["text"] if following is not None else [])]
+        found = map_texts(scanned, carried, "text", fields, lookup(block))
+        scanned = found.withColumns(
+            {
+                "hit_spans": F.array_sort(F.concat("hit_spans", "new_spans")),
+                "item_ids": F.array_sort(F.array_distinct(F.concat("item_ids", "new_items"))),
+            }
+        )
+        if following is not None:
+            scanned = stage(scanned.drop("n_words", "new_spans", "new_items"), "hits")
+        block = following
+    return scanned.select(
+        *[F.col(k).alias(c) for c, k in zip(keep, kept)], "n_words", "hit_spans", "item_ids"
+    )
 
 
 def judge(documents: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", **options) -> DataFrame:
