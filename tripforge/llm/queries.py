@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripforge.llm import bpe, decontaminate, language, minhash, search, sharding, suffixes, toxicity, urls
+from tripforge.llm import bpe, decontaminate, language, minhash, quotations, search, sharding, suffixes, toxicity, urls
 from tripforge.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,6 +189,22 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, ["page_id"])
 
 
+@query("op3_quotations")
+def op3_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL states the reply order; tests hold it against a plain version on planted quotes."""
+    formed = quotations.conversations(table(spark, sf_dir, "conversations"))
+    listed = F.transform("messages", lambda m: F.to_json(m))
+    count = lambda name: F.aggregate("messages", F.lit(0), lambda n, m: n + F.size(m[name])).cast("long")
+    return formed.select(
+        "conv_id",
+        F.size("messages").cast("long").alias("n_messages"),
+        count("quotes").alias("n_quotes"),
+        count("orphans").alias("n_orphans"),
+        F.array_join(F.col("messages.turn").cast("array<string>"), ",", "-").alias("turns"),
+        F.sha2(F.array_join(listed, "\n"), 256).alias("messages_sha256"),
+    )
+
+
 #: Shards of the table, built as so many regions of so many racks.
 SHARDS, REGIONS, RACKS = 40, 4, 2
 
