@@ -285,6 +285,25 @@ def test_cross_pairs_are_complete_at_any_block_size(spark, monkeypatch):
     assert got == expected
 
 
+def test_cross_pairs_survive_short_sketches_that_collide_in_an_earlier_band(spark):
+    # Short bins agree everywhere; the keys of bands 0 to 2 differ, so the pairs meet in bands 3 and 5 only.
+    def bands(i):
+        keys = np.arange(minhash.BANDS, dtype=np.uint64) + np.uint64(1000 * (i + 1))
+        keys[[3, 5]] = 7, 8
+        return keys.tobytes()
+
+    members = [
+        (key, band, bytes([i]), bytes([i]), 9, bytes(minhash.COORDINATES), bands(i))
+        for key, band in ((7, 3), (8, 5))
+        for i in range(4)
+    ]
+    schema = "key long, band int, class binary, component binary, n_shingles long, short binary, bands binary"
+    rows = minhash._cross_pairs(spark.createDataFrame(members, schema), minhash.THRESHOLD).collect()
+    assert {r["key"] for r in rows} == {7}
+    got = {tuple(sorted((bytes(r["class"]), bytes(p)))) for r in rows for p in r["partners"]}
+    assert got == {(bytes([i]), bytes([j])) for i in range(4) for j in range(i + 1, 4)}
+
+
 def test_near_duplicates_of_odd_rows(make_documents, edges):
     documents = make_documents(edges)
     rows = minhash.cluster(documents).collect()

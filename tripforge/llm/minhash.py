@@ -182,7 +182,8 @@ _GROUP = ["key", "block", "part"]
 def _cross_pairs(members: DataFrame, threshold: Fraction) -> DataFrame:
     """Pairs of classes in one bucket, in different components, that may be similar.
 
-    ``members``: (key, band, class, component, n_shingles, short) of buckets with several components.
+    ``members``: (key, band, class, component, n_shingles, short, bands) of buckets with several components. Without
+    ``bands`` a pair is named in each of its buckets.
     One row for each class of a group that is in a pair, with the classes it is to be compared with.
     """
     by_component = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -222,14 +223,16 @@ def _cross_pairs(members: DataFrame, threshold: Fraction) -> DataFrame:
         components_ = np.unique(group["component"].to_numpy(), return_inverse=True)[1]
         sizes = group["n_shingles"].to_numpy(float)
         short = np.frombuffer(b"".join(group["short"]), np.uint8).reshape(len(group), -1)
+        keys = np.frombuffer(b"".join(group["bands"]), np.uint64).reshape(len(group), -1) if "bands" in group else None
         hosts, found = np.flatnonzero(~guest), {}
         for g in np.flatnonzero(guest):
             other = hosts[components_[hosts] != components_[g]]
             other = other[np.minimum(sizes[other], sizes[g]) >= share * np.maximum(sizes[other], sizes[g])]
-            same = short[other] == short[g]
-            near = same.mean(axis=1) >= least
-            first = same[near, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-            partners = [classes[h] for h in other[near][first == band]]
+            other = other[(short[other] == short[g]).mean(axis=1) >= least]
+            if keys is not None:
+                # Keys of the bands name the buckets; equal short bins may belong to different ones.
+                other = other[(keys[other] == keys[g]).argmax(axis=1) == band]
+            partners = [classes[h] for h in other]
             if partners:
                 found.setdefault(classes[g], []).extend(partners)
                 for partner in partners:
@@ -326,7 +329,7 @@ def _class_components(
     mixed = several.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     members_of_mixed = stage(
         several.join(stage(mixed.select("key"), "mixed-buckets"), "key").join(
-            classes.select("class", "n_shingles", "short"), "class"
+            classes.select("class", "n_shingles", "short", "bands"), "class"
         ),
         "mixed-members",
     )
