@@ -146,6 +146,16 @@ def test_language_of_odd_rows(make_documents, edges):
     assert {r["lang_pred"] for r in language.identify(documents, nothing, ["doc_id"]).collect()} == {"und"}
 
 
+def test_clean_texts_stay_where_nothing_is_labelled(spark, make_documents, edges):
+    documents = make_documents([(i, text, None) for i, text, _ in edges])
+    model = language.fit(documents)
+    assert model.languages == []
+    kept = language.keep_identified(documents, model)
+    assert kept.columns == documents.columns
+    lettered = sorted(text for _, text, _ in edges if any(c.isalpha() for c in text or ""))
+    assert sorted(r["text"] for r in kept.collect()) == lettered and len(lettered) == 8
+
+
 def test_language_of_held_out_rows(spark):
     found = QUERIES["op1_language"](spark, "/root/testdata/sf0.01")
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")

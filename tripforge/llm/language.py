@@ -185,9 +185,23 @@ def identify(df: DataFrame, model: Model, keep: list[str], text: str = "text") -
 def keep_identified(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows whose text has a language, whole and with all their columns.
 
-    Only what has no letters at all is rejected: a short text may have a low score and be clean.
+    Only what has no letters at all is rejected: a short text may have a low score and be clean. That holds too where
+    the model was fitted on no labels and knows no language.
     """
     columns = df.columns
     names = [f"c{i}" for i in range(len(columns))]
-    found = identify(df.toDF(*names), model, names, names[columns.index(text)])
-    return found.where(F.col("lang_pred") != UNDETERMINED).select(*names).toDF(*columns)
+    plain, own = df.toDF(*names), names[columns.index(text)]
+    if model.languages:
+        found = identify(plain, model, names, own).where(F.col("lang_pred") != UNDETERMINED)
+    else:
+        lettered = T.StructField("lettered", T.BooleanType())
+        found = map_texts(plain, names, own, [lettered], _lettered).where("lettered")
+    return found.select(*names).toDF(*columns)
+
+
+def _lettered(texts: pa.Array) -> list[pa.Array]:
+    """Whether each text has an n-gram, so a letter."""
+    some = np.zeros(len(texts), bool)
+    for _, rows in ngrams(texts.fill_null("").to_pylist()):
+        some[rows] = True
+    return [pa.array(some, pa.bool_())]
