@@ -316,6 +316,15 @@ def test_near_duplicates_of_odd_rows(make_documents, edges):
     assert minhash.cluster(make_documents([])).count() == 0
 
 
+def test_rows_loaded_twice_pass_once(spark, make_documents, edges):
+    once = sorted({*edges}, key=str)
+    kept = sorted(str(tuple(r)) for r in minhash.drop_near_duplicates(make_documents(once)).collect())
+    documents = make_documents([*once, *once, once[0]])
+    twice = minhash.drop_near_duplicates(documents)
+    assert twice.columns == documents.columns
+    assert sorted(str(tuple(r)) for r in twice.collect()) == kept
+
+
 # --- repeats
 
 

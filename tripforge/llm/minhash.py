@@ -21,7 +21,8 @@ Sketches, links and components are written tables in the shared folder.
 
 Defined results: a null text, and one without words, has an empty set, is linked with nothing and is kept.
 With fewer words than a shingle has, the whole sequence is the one shingle. Repeated rows are in one
-class, of which the row with the least id is kept (every row with that id). A null id joins a class, but is never
+class, of which the row with the least id is kept (every row with that id; ``drop_near_duplicates`` keeps one of
+rows that are equal in all columns). A null id joins a class, but is never
 its least id; a component of null ids alone has a null component_id, and its rows are kept.
 """
 
@@ -373,4 +374,13 @@ def drop_near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "
     found = cluster(plain, place[id_column], place[text], **options)
     dropped = stage(found.where("NOT kept").select("row").distinct(), "dropped")
     named = plain.withColumn("row", row_digest(place[id_column], place[text]))
-    return named.join(dropped, "row", "left_anti").select(*names).toDF(*columns)
+    kept = named.join(dropped, "row", "left_anti").select(*names)
+    # Rows equal in all columns are one document; only digests are shuffled to find them.
+    whole = F.unhex(F.md5(F.to_json(F.struct(*names))))
+    counts = plain.groupBy(whole.alias("whole")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = stage(counts.where("n > 1").select("whole"), "repeated-rows")
+    if not repeated.isEmpty():
+        kept = kept.withColumn("whole", whole)
+        once = kept.join(repeated, "whole", "left_semi").dropDuplicates(["whole"])
+        kept = kept.join(repeated, "whole", "left_anti").union(once).select(*names)
+    return kept.toDF(*columns)
