@@ -47,7 +47,7 @@ _SPACE = re.compile(f"[{_SPACES}]+")
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 
 
-def _byte_characters() -> list[str]:
+def byte_characters() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary.
 
     Printable Latin-1 characters stand for themselves; the others take the characters from
@@ -68,8 +68,8 @@ class WordBpe:
         vocab, end = model["vocab"], model["end_of_word_suffix"]
         self.pattern = split["pattern"]["Regex"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.inner = [vocab.get(c) for c in _byte_characters()]
-        self.last = [vocab.get(c + end) for c in _byte_characters()]
+        self.inner = [vocab.get(c) for c in byte_characters()]
+        self.last = [vocab.get(c + end) for c in byte_characters()]
         self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(model["merges"])}
         self.made = [vocab[a + b] for a, b in model["merges"]]
         self.tokens = [""] * (1 + max(*vocab.values(), *self.special.values()))
