@@ -24,8 +24,20 @@ from tripforge.operators import reports
 from tripforge.operators.fact import fact_table, fact_table_broadcast
 from tripforge.operators.quality import keep_good, reject_counts
 from tripforge.operators.revenue import monthly_revenue, monthly_revenue_sql
-from tripforge.plans.batch import build_dims, clean_all
-from tripforge.staging import stage
+from tripforge.plans import bucketed
+from tripforge.plans.batch import (
+    ALL_CLEANED,
+    FACT,
+    build_dims,
+    clean_all,
+    run_dims,
+    run_fact,
+    run_grow_dims,
+)
+from tripforge.sources.buckets import BucketStore
+from tripforge.sources.tables import TableStore
+from tripforge.staging import stage, staging_path
+
 
 def counted(name: str) -> Column:
     return F.count(F.lit(1)).alias(name)
@@ -381,6 +393,112 @@ def analytics_report_query(spark, sf_dir):
     return reports.analytics_report(*stored_fact(spark, sf_dir), zones(spark, sf_dir))
 
 
+def bucketed_star(
+    spark: SparkSession, sf_dir: str, buckets: int = 16
+) -> tuple[BucketStore, dict[str, DataFrame]]:
+    """The star in buckets, under names of its own."""
+    path = staging_path(spark, "buckets")
+    store = BucketStore(spark, path, f"b{path[-12:]}_", buckets)
+    dims = bucketed.store_trips(stage(cleaned(spark, sf_dir), "cleaned"), store)
+    bucketed.store_fact(store, dims)
+    return store, dims
+
+
+def _grown_sql(name: str, keys: str, id_col: str, rest: str) -> str:
+    """Ids of the first vendor's trips in order, then those of the other trips' new keys."""
+    return f"""WITH {CLEAN_SQL},
+    keys AS (SELECT {keys}, min(CASE WHEN "VendorID" = 1 THEN 1 ELSE 2 END) AS load FROM clean GROUP BY {keys})
+    SELECT row_number() OVER (ORDER BY load, {keys}) AS {id_col}, {keys}, {rest} load FROM keys"""
+
+
+def _grown(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A dimension written for the first vendor's trips, read back and grown for all; the load of each row."""
+    store = TableStore(spark, staging_path(spark, "store"))
+    stored = stage(cleaned(spark, sf_dir), "cleaned")
+    store.write_all(build_dims(stored.where("VendorID = 1")))
+    first = store.read(name).count()
+    run_grow_dims(stored, store)
+    (id_col,) = [c for c in store.read(name).columns if c.endswith("_id")]
+    return store.read(name).withColumn("load", F.when(F.col(id_col) <= first, 1).otherwise(2))
+
+
+@check(
+    "grown_dim_trip",
+    _grown_sql(
+        "dim_trip",
+        "pickup_datetime, dropoff_datetime, trip_distance",
+        "trip_distance_id",
+        "round((epoch(dropoff_datetime) - epoch(pickup_datetime)) / 60, 2) AS trip_duration,",
+    ),
+)
+def grown_dim_trip(spark, sf_dir):
+    return _grown(spark, sf_dir, "dim_trip")
+
+
+@check("grown_dim_location", _grown_sql("dim_location", '"PULocationID", "DOLocationID"', "location_id", ""))
+def grown_dim_location(spark, sf_dir):
+    return _grown(spark, sf_dir, "dim_location")
+
+
+@check(
+    "stored_dimensions",
+    f"""WITH {DIMS_SQL} SELECT *
+    FROM (SELECT 'dim_passenger' AS name, count(*) AS rows, max(passenger_id) AS top FROM dim_passenger
+    UNION ALL SELECT 'dim_location', count(*), max(location_id) FROM dim_location
+    UNION ALL SELECT 'dim_trip', count(*), max(trip_distance_id) FROM dim_trip
+    UNION ALL SELECT 'dim_rate', count(*), max(rate_id) FROM dim_rate
+    UNION ALL SELECT 'dim_payment_type', count(*), max(payment_id) FROM dim_payment_type
+    UNION ALL SELECT 'dim_datetime', count(*), max(datetime_id) FROM dim_datetime)""",
+)
+def stored_dimensions(spark, sf_dir):
+    """All six dimensions written by the job and read back by name."""
+    store = TableStore(spark, staging_path(spark, "store"))
+    store.write(cleaned(spark, sf_dir), ALL_CLEANED)
+    found = None
+    for name, df in store.read_all(run_dims(store, store)).items():
+        (id_col,) = [c for c in df.columns if c.endswith("_id")]
+        part = df.agg(F.lit(name).alias("name"), counted("rows"), F.max(id_col).alias("top"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@check("stored_fact", f"WITH {FACT_SQL} SELECT * FROM fact_table")
+def stored_fact_query(spark, sf_dir):
+    """The fact job over dimensions that were written and read back."""
+    store = TableStore(spark, staging_path(spark, "store"))
+    store.write(cleaned(spark, sf_dir), ALL_CLEANED)
+    run_dims(store, store)
+    run_fact(store, store, broadcast=True)
+    return store.read(FACT)
+
+
+def _bucketed_query(name: str, sql: str, build) -> None:
+    @check(name, sql)
+    def query(spark, sf_dir):
+        store, dims = bucketed_star(spark, sf_dir)
+        found = build(store, dims, spark, sf_dir)
+        # The frame holds its files; nothing is left in the catalog.
+        store.forget(bucketed.TRIPS, bucketed.MOMENTS, FACT, *bucketed.LARGE_DIMS)
+        return found
+
+
+_bucketed_query(
+    "bucketed_fact_table",
+    f"WITH {FACT_SQL} SELECT * FROM fact_table",
+    lambda store, dims, spark, sf_dir: bucketed.bucketed_fact(store, dims),
+)
+_bucketed_query(
+    "bucketed_overview_report",
+    OVERVIEW_SQL,
+    lambda store, dims, spark, sf_dir: bucketed.bucketed_overview(store, dims, zones(spark, sf_dir)),
+)
+_bucketed_query(
+    "bucketed_analytics_report",
+    ANALYTICS_SQL,
+    lambda store, dims, spark, sf_dir: bucketed.bucketed_analytics(store, dims, zones(spark, sf_dir)),
+)
+
+
 @check(
     "location_routes",
     f"""WITH {FACT_SQL}

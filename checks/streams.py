@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.batch import counted, total
+from checks.batch import counted
 from checks.fixture import TRIPS_SQL, rides, table
 from checks.registry import check
 from tripforge import schemas
@@ -23,13 +23,18 @@ from tripforge.sources.files import read_parquet
 from tripforge.sources.topics import read_message_files
 from tripforge.staging import stage, staging_path
 from tripforge.streaming.counts import count_by, windowed_count
+from tripforge.streaming.batch_log import log_sink
 from tripforge.streaming.jobs import (
     PICKUP,
+    counts_log,
     rides_from,
+    rides_log,
+    start_count_query,
     start_landing_queries,
     windowed_vendor_counts,
     windowed_vendor_messages,
 )
+from tripforge.streaming.progress import ProgressTable
 from tripforge.streaming.sinks import (
     fan_out_sink,
     file_sink,
@@ -280,20 +285,53 @@ def windowed_event_counts(spark, sf_dir):
     return _flat_window(_finished_snapshot(counts))
 
 
-_LANDED_SQL = f"""WITH {TRIPS_SQL}
-  SELECT "PULocationID", count(*) AS file_rides, round(sum(fare_amount), 2) AS file_fares,
-    count(*) AS table_rides, round(sum(fare_amount), 2) AS table_fares
-  FROM trips GROUP BY "PULocationID" """
+@check(
+    "updated_vendor_windows",
+    f"""WITH {TRIPS_SQL}, {_WINDOWS_SQL}
+    SELECT window_start, window_end, vendor_id, count(*) AS count
+    FROM windows GROUP BY 1, 2, 3""",
+)
+def updated_vendor_windows(spark, sf_dir):
+    """Messages of odd and even zones in two runs; the second writes the windows that it changes only."""
+    path, checkpoint, source = (staging_path(spark, n) for n in ("windows", "checkpoint", "messages"))
+    messages = stage(_messages(spark, sf_dir), "messages")
+    for odd in (0, 1):
+        messages.where(F.col("key").cast("int") % 2 == odd).write.mode("append").parquet(source)
+        start_count_query(read_message_files(spark, source), path, checkpoint, trigger=None).awaitTermination()
+    return _flat_window(counts_log(spark, path).read())
 
 
-def _landed(files: DataFrame, rows: DataFrame) -> DataFrame:
-    def per_zone(df: DataFrame, prefix: str) -> DataFrame:
-        fare = df.withColumn("fare_amount", F.round(F.col("fare_amount").cast("double"), 2))
-        return fare.groupBy("PULocationID").agg(
-            counted(f"{prefix}_rides"), total("fare_amount").alias(f"{prefix}_fares")
+@check(
+    "rejected_messages",
+    f"""WITH {TRIPS_SQL}
+    SELECT 'rides' AS observed, 'rows' AS metric, count(*) AS value FROM trips
+    UNION ALL SELECT 'rides', 'rejected', count(*) FILTER (passenger_count < 2) FROM trips""",
+)
+def rejected_messages(spark, sf_dir):
+    """Messages broken off after as many fields as riders: without a second field there is no pickup time."""
+    tokens = F.split("value", schemas.MESSAGE_SEPARATOR)
+    riders = F.element_at(tokens, 4).cast("int")
+    broken = F.concat_ws(schemas.MESSAGE_SEPARATOR, F.slice(tokens, 1, riders), F.lit("junk"))
+    stream = rides_from(_stream(spark, _messages(spark, sf_dir).select("key", broken.alias("value"))))
+    with ProgressTable(spark, staging_path(spark, "progress")) as table_of_batches:
+        table_of_batches.finish(
+            file_sink(stream, staging_path(spark, "rides"), _checkpoint(spark), partition_by=None, trigger=None)
         )
+    noted = table_of_batches.read()
+    return noted.groupBy("observed", "metric").agg(F.sum("value").alias("value"))
+
 
-    return per_zone(files, "file").join(per_zone(rows, "table"), "PULocationID")
+def _of_both(**parts: DataFrame) -> DataFrame:
+    """Whole rides of both places, tagged with the place."""
+    tagged = [
+        _rounded(df).select(F.lit(name).alias("place"), *[F.col(c) for c in _RIDE])
+        for name, df in parts.items()
+    ]
+    return tagged[0].unionByName(tagged[1])
+
+
+_LANDED_SQL = f"""WITH {TRIPS_SQL}, rides AS ({_RIDES_SQL})
+  SELECT place, rides.* FROM rides, (VALUES ('files'), ('table')) AS places(place)"""
 
 
 @check("landed_rides", _LANDED_SQL)
@@ -302,16 +340,46 @@ def landed_rides(spark, sf_dir):
     files, table_path = staging_path(spark, "rides"), staging_path(spark, "rides-table")
     name = f"tripforge_rides_{uuid4().hex}"
     for query in start_landing_queries(
-        stream,
-        files,
-        name,
-        (_checkpoint(spark), _checkpoint(spark)),
-        trigger=None,
-        table_path=table_path,
-        spread=2,
+        stream, files, name, (_checkpoint(spark), _checkpoint(spark)), trigger=None, table_path=table_path
     ):
         query.awaitTermination()
-    return _landed(read_parquet(spark, files), spark.table(name))
+    found = spark.table(name)
+    # The table is external and the frame holds its files: nothing is left in the catalog.
+    spark.sql(f"DROP TABLE {name}")
+    return _of_both(files=rides_log(spark, files).read(), table=found)
+
+
+@check("compacted_rides", f"WITH {TRIPS_SQL} {_RIDES_SQL}")
+def compacted_rides(spark, sf_dir):
+    """Landed in three runs from one checkpoint, the first two packed into large files."""
+    log = rides_log(spark, staging_path(spark, "rides"))
+    checkpoint, source = _checkpoint(spark), staging_path(spark, "messages")
+    messages = stage(_messages(spark, sf_dir), "messages")
+    for part in range(3):
+        messages.where(F.col("key").cast("int") % 3 == part).write.mode("append").parquet(source)
+        rides_ = parse_delimited(read_message_files(spark, source))
+        query = log_sink(rides_, log, checkpoint, trigger=None)
+        query.awaitTermination()
+        if part == 1:
+            log.compact(query.lastProgress["batchId"])
+    return _rounded(log.read()).select(*_RIDE)
+
+
+@check(
+    "restarted_vendor_counts",
+    f"""WITH {TRIPS_SQL} SELECT "VendorID" AS vendor_id, count(*) AS count
+    FROM trips GROUP BY "VendorID" """,
+)
+def restarted_vendor_counts(spark, sf_dir):
+    """Half of the messages, a stop, and the rest after a start from the same checkpoint."""
+    path, checkpoint, source = (staging_path(spark, n) for n in ("snapshot", "checkpoint", "messages"))
+    messages = stage(_messages(spark, sf_dir), "messages")
+    for odd in (0, 1):
+        messages.where(F.col("key").cast("int") % 2 == odd).write.mode("append").parquet(source)
+        counts = count_by(rides_from(read_message_files(spark, source)), ["vendor_id"])
+        query = snapshot_sink(counts, path, checkpoint, trigger=None)
+        query.awaitTermination()
+    return read_parquet(spark, snapshot_path(path, query.lastProgress["batchId"]))
 
 
 @check("fanned_out_rides", _LANDED_SQL)
@@ -319,7 +387,7 @@ def fanned_out_rides(spark, sf_dir):
     stream = parse_delimited(_stream(spark, _messages(spark, sf_dir)))
     paths = [staging_path(spark, "first"), staging_path(spark, "second")]
     fan_out_sink(stream, paths, _checkpoint(spark), trigger=None).awaitTermination()
-    return _landed(*[read_parquet(spark, path) for path in paths])
+    return _of_both(files=read_parquet(spark, paths[0]), table=read_parquet(spark, paths[1]))
 
 
 @check("json_ride_stream", f"WITH {TRIPS_SQL} {_JSON_RIDES_SQL}")

@@ -19,11 +19,14 @@ from tripforge.operators.revenue import monthly_revenue
 from tripforge.operators.unify import unify
 from tripforge.plans.batch import ALL_CLEANED, CLEANED, RAW, SERVICES, run_clean, run_revenue
 from tripforge.plans.ingest import (
+    LEDGER,
     append_months,
     csv_to_parquet,
     land_file,
     land_months,
+    loaded_months,
     month_paths,
+    replace_months,
 )
 from tripforge.sinks.files import (
     replace_table,
@@ -36,7 +39,6 @@ from tripforge.sources.tables import TableStore
 from tripforge.staging import staging_path
 
 _BOTH = (schemas.GREEN, schemas.YELLOW)
-_YEARS = range(1990, 2011)
 
 
 def _csv(spark: SparkSession, sf_dir: str, service: str, by_month: bool = False) -> str:
@@ -70,24 +72,28 @@ def typed_csv_scan(spark, sf_dir):
 @check(
     "csv_months_to_parquet",
     f"""WITH {TRIPS_SQL}
-    SELECT service_type, CAST(year(pickup_datetime) AS INT) AS file_year,
-      CAST(month(pickup_datetime) AS INT) AS file_month, count(*) AS trips,
-      round(sum(total_amount), 2) AS total
-    FROM trips GROUP BY 1, 2, 3""",
+    SELECT *, CAST(year(pickup_datetime) AS INT) AS file_year,
+      CAST(month(pickup_datetime) AS INT) AS file_month
+    FROM trips""",
 )
 def csv_months_to_parquet(spark, sf_dir):
-    months = []
+    months = {}
     for service in _BOTH:
         base = _csv(spark, sf_dir, service, by_month=True)
         path = staging_path(spark, f"{service}-months")
-        csv_to_parquet(spark, service, base, path, _YEARS, prefixes=("year=", "month="))
-        rows = read_parquet(spark, path).withColumn("service_type", F.lit(service))
-        months.append(
-            rows.groupBy("service_type", "file_year", "file_month").agg(
-                counted("trips"), total("total_amount").alias("total")
-            )
+        pickup = F.year(schemas.SERVICE_TIMES[service][0])
+        years = raw_as_typed(spark, sf_dir, service).agg(F.min(pickup), F.max(pickup)).first()
+        csv_to_parquet(
+            spark, service, base, path, range(years[0], years[1] + 1), prefixes=("year=", "month=")
+        )
+        months[service] = read_parquet(spark, path)
+    parts = [
+        _plain_times(_named(df, service)).select(
+            *schemas.COMMON_COLUMNS, F.lit(service).alias("service_type"), "file_year", "file_month"
         )
-    return months[0].unionByName(months[1])
+        for service, df in months.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @check("parquet_files_scan", f"WITH {TRIPS_SQL} SELECT * FROM trips")
@@ -102,29 +108,25 @@ def parquet_files_scan(spark, sf_dir):
 
 @check(
     "external_view",
-    f"""WITH {TRIPS_SQL}
-    SELECT "VendorID", count(*) AS trips FROM trips WHERE service_type = 'yellow'
-    GROUP BY "VendorID" """,
+    f"""WITH {TRIPS_SQL} SELECT * EXCLUDE service_type FROM trips WHERE service_type = 'yellow'""",
 )
 def external_view_query(spark, sf_dir):
     path = staging_path(spark, "yellow-years")
     raw = raw_as_typed(spark, sf_dir, schemas.YELLOW)
     years = raw.withColumn("year", F.year("tpep_pickup_datetime")).hint("rebalance", "year")
     years.write.partitionBy("year").parquet(path)
-    external_view(spark, "external_yellow_trips", f"{path}/year=19*", f"{path}/year=20*")
-    return spark.sql(
-        "SELECT VendorID, count(*) AS trips FROM external_yellow_trips GROUP BY VendorID"
-    )
+    view = f"external_{path[-12:]}"
+    external_view(spark, view, f"{path}/year=19*", f"{path}/year=20*")
+    rides = spark.sql(f"SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
+    return _named(rides, schemas.YELLOW)
 
 
 @check(
     "cleaned_tables",
     f"""WITH {CLEAN_SQL}
-    SELECT service_type || '_trips_data_cleaned' AS table_name, count(*) AS trips,
-      round(sum(total_amount), 2) AS total
-    FROM clean GROUP BY service_type
-    UNION ALL
-    SELECT 'trips_data_cleaned', count(*), round(sum(total_amount), 2) FROM clean""",
+    SELECT service_type || '_trips_data_cleaned' AS table_name, * FROM clean
+    UNION ALL SELECT 'trips_data_cleaned', * FROM clean""",
 )
 def cleaned_tables(spark, sf_dir):
     store = TableStore(spark, staging_path(spark, "store"))
@@ -132,15 +134,11 @@ def cleaned_tables(spark, sf_dir):
         {RAW.format(service=s): df for s, df in raw_services(spark, sf_dir).items()}
     )
     run_clean(store, "all")
-    counts = None
+    tables = None
     for name in [*[CLEANED.format(service=s) for s in SERVICES], ALL_CLEANED]:
-        part = store.read(name).agg(
-            F.lit(name).alias("table_name"),
-            counted("trips"),
-            total("total_amount").alias("total"),
-        )
-        counts = part if counts is None else counts.unionByName(part)
-    return counts
+        part = store.read(name).select(F.lit(name).alias("table_name"), *schemas.TRIP_COLUMNS)
+        tables = part if tables is None else tables.unionByName(part)
+    return tables
 
 
 @check(
@@ -175,11 +173,15 @@ def revenue_table(spark, sf_dir):
 )
 def replaced_table(spark, sf_dir):
     path = staging_path(spark, "ctas")
+    name = f"riders_{path[-12:]}"
     every = trips(spark, sf_dir)
-    replace_table(every.groupBy("VendorID").count(), "tripforge_riders", path)
+    replace_table(every.groupBy("VendorID").count(), name, path)
     riders = every.groupBy("passenger_count").agg(counted("trips"))
-    replace_table(riders, "tripforge_riders", path)
-    return spark.table("tripforge_riders")
+    replace_table(riders, name, path)
+    found = spark.table(name)
+    # The table is external and the frame holds its files: nothing is left in the catalog.
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 # --- landing and loading ------------------------------------------------------
@@ -282,6 +284,127 @@ def type_repair_fhv(spark, sf_dir):
     return _plain_times(repair_types(text, schemas.FHV))
 
 
+# --- files and tables whose columns change -----------------------------------------
+
+_ODD = "month(pickup_datetime) % 2 = 1"
+
+
+def _odd(df: DataFrame) -> DataFrame:
+    return df.where(F.month("pickup_datetime") % 2 == 1)
+
+
+def _even(df: DataFrame) -> DataFrame:
+    return df.where(F.month("pickup_datetime") % 2 == 0)
+
+
+def _raw_month(df: DataFrame, base: str, service: str, month: int) -> None:
+    (path,) = month_paths(base, service, 2021, [month], "csv.gz")
+    df.write.option("header", True).option("compression", "gzip").csv(path)
+
+
+@check(
+    "landed_fhv",
+    f"""WITH {TRIPS_SQL}
+    SELECT 'B' || "VendorID" AS dispatching_base_num, pickup_datetime,
+      dropoff_datetime AS "dropOff_datetime", CAST("PULocationID" AS BIGINT) AS "PULocationID",
+      CAST("DOLocationID" AS BIGINT) AS "DOLocationID", CAST(NULL AS BIGINT) AS "SR_Flag",
+      CASE WHEN {_ODD} THEN service_type END AS "Affiliated_base_number",
+      CASE WHEN {_ODD} THEN CAST(passenger_count AS DOUBLE) ELSE fare_amount END AS airport_fee,
+      CASE WHEN {_ODD} THEN CAST("RatecodeID" AS VARCHAR) ELSE service_type END AS wav_request,
+      CASE WHEN NOT {_ODD} THEN CAST(payment_type AS BIGINT) END AS zone_class,
+      CASE WHEN NOT {_ODD} THEN pickup_datetime END AS request_datetime
+    FROM trips""",
+)
+def landed_fhv(spark, sf_dir):
+    """Two spellings of the header over the months, and columns outside the layout that hold more from month to month."""
+    rides = trips(spark, sf_dir)
+    times = {c: F.col(c).cast("string") for c in ("pickup_datetime", "dropoff_datetime")}
+    base, landed = staging_path(spark, "fhv"), staging_path(spark, "fhv-landed")
+    one = _odd(rides).select(
+        F.concat(F.lit("B"), "VendorID").alias("dispatching_base_num"),
+        times["pickup_datetime"].alias("pickup_datetime"),
+        times["dropoff_datetime"].alias("dropoff_datetime"),
+        F.concat("PULocationID", F.lit(".0")).alias("PULocationID"),
+        "DOLocationID",
+        F.lit(None).cast("string").alias("SR_Flag"),
+        F.col("service_type").alias("Affiliated_base_number"),
+        F.col("passenger_count").alias("Airport_fee"),
+        F.col("RatecodeID").alias("wav_request"),
+    )
+    two = _even(rides).select(
+        F.col("payment_type").alias("zone_class"),
+        F.concat(F.lit("B"), "VendorID").alias("Dispatching_base_num"),
+        times["pickup_datetime"].alias("request_datetime"),
+        times["pickup_datetime"].alias("Pickup_datetime"),
+        times["dropoff_datetime"].alias("DropOff_datetime"),
+        F.concat("PULocationID", F.lit(".0")).alias("PUlocationID"),
+        F.concat("DOLocationID", F.lit(".0")).alias("DOlocationID"),
+        F.lit(None).cast("string").alias("SR_flag"),
+        F.col("fare_amount").alias("airport_fee"),
+        F.col("service_type").alias("wav_request"),
+    )
+    for month, rows in ((1, one), (2, two)):
+        _raw_month(rows, base, schemas.FHV, month)
+    land_months(spark, base, schemas.FHV, landed, 2021, [1, 2, 3])
+    store = TableStore(spark, staging_path(spark, "store"))
+    append_months(spark, month_paths(landed, schemas.FHV, 2021, [1, 2], "parquet"), store, "fhv_trips_data")
+    return _plain_times(store.read("fhv_trips_data")).withColumnRenamed("Airport_fee", "airport_fee")
+
+
+def _yellow_months(spark: SparkSession, sf_dir: str, landed: str) -> None:
+    """Raw yellow months landed: the second has a fee that the first lacks."""
+    base = staging_path(spark, "months")
+    raw = raw_as_typed(spark, sf_dir, schemas.YELLOW)
+    pickup, dropoff = schemas.SERVICE_TIMES[schemas.YELLOW]
+    text = raw.withColumns({c: F.col(c).cast("string") for c in (pickup, dropoff)})
+    odd = F.month(pickup) % 2 == 1
+    fee = (F.col("passenger_count") * 0.25).alias("airport_fee")
+    _raw_month(text.where(odd), base, schemas.YELLOW, 1)
+    _raw_month(text.where(~odd).select("*", fee), base, schemas.YELLOW, 2)
+    land_months(spark, base, schemas.YELLOW, landed, 2021, [1, 2, 3])
+
+
+_FEE = f"CASE WHEN NOT {_ODD} THEN passenger_count * 0.25::DOUBLE END AS airport_fee"
+
+
+@check(
+    "appended_new_column",
+    f"""WITH {TRIPS_SQL} SELECT {_REPAIRED_COLUMNS}, {_FEE}
+    FROM trips WHERE service_type = 'yellow'""",
+)
+def appended_new_column(spark, sf_dir):
+    """Two loads; the second brings a column that the table did not have."""
+    landed = staging_path(spark, "landed")
+    _yellow_months(spark, sf_dir, landed)
+    store = TableStore(spark, staging_path(spark, "store"))
+    for month in (1, 2):
+        paths = month_paths(landed, schemas.YELLOW, 2021, [month], "parquet")
+        append_months(spark, paths, store, "rides")
+    return _plain_times(_named(store.read("rides"), schemas.YELLOW))
+
+
+@check(
+    "reloaded_month",
+    f"""WITH {TRIPS_SQL}, months AS (
+      SELECT *, CASE WHEN {_ODD} THEN 1 ELSE 2 END AS file_month FROM trips WHERE service_type = 'yellow'
+    )
+    SELECT {_REPAIRED_COLUMNS}, {_FEE}, 'yellow' AS service, 2021 AS year, file_month AS month,
+      count(*) OVER (PARTITION BY file_month) AS rows, file_month::BIGINT AS loads
+    FROM months""",
+)
+def reloaded_month(spark, sf_dir):
+    """A month is loaded twice and replaced, not doubled; the ledger has both loads. A third month has no file."""
+    landed = staging_path(spark, "landed")
+    _yellow_months(spark, sf_dir, landed)
+    store = TableStore(spark, staging_path(spark, "store"))
+    for months in ([1, 2, 3], [2]):
+        replace_months(spark, landed, schemas.YELLOW, 2021, months, store, "rides")
+    key = ["service", "year", "month"]
+    loads = store.read(LEDGER.format(table="rides")).groupBy(*key).agg(counted("loads"))
+    noted = loaded_months(store, "rides").select(*key, "rows").join(loads, key)
+    return _plain_times(_named(store.read("rides"), schemas.YELLOW)).join(F.broadcast(noted), key)
+
+
 # --- date-partitioned tables ----------------------------------------------------
 
 

@@ -138,9 +138,23 @@ def test_reports_shuffle_the_fact_only_for_large_dimensions(spark, settings):
     report.collect()
     text = plan(report).split("== Initial Plan ==")[0]
     shuffled = re.findall(r"[ +]Exchange hashpartitioning\((\w+)#", text)
-    # The fact once and the moments once; the way for disagreeing rows reuses both.
+    # The fact once and the moments once; all rows agree with their trip's times, so that is all.
     assert shuffled.count("trip_distance_id") == 2
-    assert "ReusedExchange" in text
+    assert "Union" not in text
+
+
+def test_rows_that_disagree_take_their_times_without_another_shuffle_of_the_fact(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    settings(spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    fact, dims = stored_fact(spark, SF_DIR)
+    top = dims["dim_datetime"].count()
+    moved = F.when(F.col("fare_amount") > 20, top + 1 - F.col("datetime_id")).otherwise(F.col("datetime_id"))
+    odd = stage(fact.withColumn("datetime_id", moved), "odd-fact")
+    report = overview_report(odd, dims, zones(spark, SF_DIR))
+    report.collect()
+    text = plan(report).split("== Initial Plan ==")[0]
+    assert re.findall(r"[ +]Exchange hashpartitioning\((\w+)#", text).count("trip_distance_id") == 2
+    assert "Union" not in text and "apart_id" in text
 
 
 def test_trips_are_shuffled_once_for_both_large_dimensions(spark, settings):

@@ -14,15 +14,20 @@ from tripforge.operators.messages import (
 )
 from tripforge.sources.files import read_parquet
 from tripforge.sources.topics import read_message_files, read_topic, topic_options
+from tripforge.streaming.batch_log import spread_by_share
 from tripforge.streaming.counts import count_by, windowed_count
 from tripforge.streaming.jobs import (
     PICKUP,
+    counts_log,
     rides_from,
+    rides_log,
+    start_count_query,
     start_landing_queries,
     start_ride_queries,
     supervise,
     windowed_vendor_counts,
 )
+from tripforge.streaming.progress import ProgressTable
 from tripforge.streaming.sinks import (
     console_sink,
     fan_out_sink,
@@ -160,7 +165,7 @@ def test_two_landing_queries_with_their_own_checkpoints(spark, folder):
     )
     for query in queries:
         run(query)
-    assert read_parquet(spark, folder("files")).count() == 2
+    assert rides_log(spark, folder("files")).read().count() == 2
     assert spark.table("landed_rides_test").count() == 2
     spark.sql("DROP TABLE landed_rides_test")
 
@@ -238,6 +243,143 @@ def test_file_count_does_not_change_what_a_watermark_drops(spark, folder):
     assert counts[0] == counts[1] > 0
 
 
+def test_hot_zone_is_spread_and_files_stay_few(spark, folder):
+    rows = spark.range(0, 20_000, 1, 8).select(F.expr("if(id % 3 = 0, 7, id % 40)").alias("PULocationID"), "id")
+    log = rides_log(spark, folder("log"))
+    log.write_batch(rows, 0)
+    found = log.read()
+    assert found.count() == 20_000
+    places = found.select("PULocationID", F.input_file_name().alias("file")).distinct()
+    files = {r["PULocationID"]: r["count"] for r in places.groupBy("PULocationID").count().collect()}
+    tasks = spark.sparkContext.defaultParallelism
+    assert sum(files.values()) <= tasks + len(files)
+    assert files.pop(7) > 1 and set(files.values()) == {1}
+
+
+def test_shares_of_identical_rows_are_even(spark, settings):
+    rows = spark.range(0, 9000, 1, 4).select(F.lit(5).alias("zone"))
+    dealt = spread_by_share(rows, "zone", 6)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert dealt.columns == ["zone"] and sum(sizes) == 9000 and len(sizes) > 2
+    nulls = spread_by_share(rows.select(F.lit(None).cast("int").alias("zone")), "zone", 6)
+    assert nulls.count() == 9000
+    assert spread_by_share(rows.limit(0), "zone", 6).count() == 0
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, folder):
+    log = rides_log(spark, folder("log"))
+    rows = parse_delimited(spark.createDataFrame([message(zone=5), message(zone=6)], "key string, value string"))
+    log.write_batch(rows, 0)
+    log.write_batch(rows, 0)
+    log.write_batch(rows.limit(0), 1)
+    log.write_batch(rows.where("PULocationID = 6"), 2)
+    assert sorted(r["PULocationID"] for r in log.read().collect()) == [5, 6, 6]
+    log.compact(1)
+    log.compact(1)
+    assert sorted(r["PULocationID"] for r in log.read().collect()) == [5, 6, 6]
+    log.compact(2)
+    log.write_batch(rows, 3)
+    assert sorted(r["PULocationID"] for r in log.read().collect()) == [5, 5, 6, 6, 6]
+    with pytest.raises(ValueError, match="no batch"):
+        rides_log(spark, folder("empty")).read()
+
+
+def test_compaction_packs_small_files(spark, folder):
+    log = rides_log(spark, folder("log"))
+    rows = spark.range(0, 400, 1, 4).select((F.col("id") % 4).cast("int").alias("PULocationID"), "id")
+    for batch in range(4):
+        log.write_batch(rows, batch)
+
+    def files():
+        return log.read().select(F.input_file_name()).distinct().count()
+
+    before = files()
+    log.compact(3)
+    assert files() == 4 < before and log.read().count() == 1600
+
+
+def test_updates_write_what_changed_only(spark, folder):
+    def go():
+        query = start_count_query(read_message_files(spark, folder("in")), folder("out"), folder("ck"), trigger=None)
+        return run(query).lastProgress["batchId"]
+
+    hours = [f"2020-07-01 {h:02d}:00:00" for h in range(20)]
+    add_file(spark, folder("in"), *[message(pickup=p) for p in hours])
+    first = go()
+    add_file(spark, folder("in"), message(pickup=hours[3]), message(pickup=hours[3], vendor=2))
+    second = go()
+    sizes = [read_parquet(spark, f"{folder('out')}/batches/batch_id={b}").count() for b in (first, second)]
+    assert sizes == [40, 4]
+    log = counts_log(spark, folder("out"))
+    expected = windowed_vendor_counts(parse_delimited(read_parquet(spark, folder("in"))))
+    for _ in range(2):
+        got = log.read().select(*expected.columns)
+        assert got.exceptAll(expected).count() == expected.exceptAll(got).count() == 0
+        log.compact(second)
+    add_file(spark, folder("in"), message(pickup=hours[3]))
+    go()
+    expected = windowed_vendor_counts(parse_delimited(read_parquet(spark, folder("in"))))
+    assert expected.exceptAll(log.read().select(*expected.columns)).count() == 0
+
+
+def test_progress_is_a_table(spark, folder):
+    with ProgressTable(spark, folder("progress")) as progress:
+        for junk in (1, 2):
+            add_file(spark, folder("in"), message(), *[("5", "junk")] * junk)
+            rides = rides_from(read_message_files(spark, folder("in")))
+            progress.finish(file_sink(rides, folder("out"), folder("ck"), None, trigger=None))
+    rows = {(r["batch_id"], r["metric"]): r["value"] for r in progress.read().where("observed = 'rides'").collect()}
+    totals = {m: sum(v for (_, n), v in rows.items() if n == m) for m in ("rows", "rejected")}
+    assert totals == {"rows": 5, "rejected": 3}
+    assert len({b for b, _ in rows}) >= 2
+
+
+def test_failed_queries_are_started_again(spark, folder):
+    add_file(spark, folder("in"), message())
+    tries = []
+
+    def start():
+        def write(batch, batch_id):
+            tries.append(batch_id)
+            if len(tries) < 3:
+                raise ValueError("not yet")
+
+        rides = parse_delimited(read_message_files(spark, folder("in")))
+        out = rides.writeStream.trigger(availableNow=True).option("checkpointLocation", folder("ck"))
+        return [out.foreachBatch(write).start()]
+
+    assert supervise(spark, start, restarts=5, pause=0.01) == 2
+    tries.clear()
+    add_file(spark, folder("in"), message())
+    with pytest.raises(Exception, match="not yet"):
+        supervise(spark, start, restarts=1, pause=0.01)
+    assert len(tries) == 2
+
+
+def test_json_rides_are_landed(spark, folder):
+    rides = parse_delimited(spark.createDataFrame([message(zone=4), message(zone=9)], "key string, value string"))
+    to_json_messages(to_json_rides(rides), "pu_location_id").write.parquet(folder("in"))
+    queries = start_landing_queries(
+        read_message_files(spark, folder("in")), folder("files"), "landed_json_test",
+        (folder("ck1"), folder("ck2")), trigger=None, parse=parse_json)
+    for query in queries:
+        run(query)
+    assert sorted(r["PULocationID"] for r in rides_log(spark, folder("files")).read().collect()) == [4, 9]
+    assert spark.table("landed_json_test").count() == 2
+    spark.sql("DROP TABLE landed_json_test")
+
+
+def test_memory_sink_has_a_checkpoint_in_the_shared_folder(spark, folder):
+    add_file(spark, folder("in"), message())
+    counts = count_by(parse_delimited(read_message_files(spark, folder("in"))), ["vendor_id"])
+    _, query = memory_sink(counts, "kept_counts", "SELECT * FROM {table_name}", "complete", folder("ck"))
+    query.stop()
+    add_file(spark, folder("in"), message())
+    answer, query = memory_sink(counts, "kept_counts", "SELECT * FROM {table_name}", "complete", folder("ck"))
+    query.stop()
+    assert [tuple(r) for r in answer.collect()] == [(1, 2)]
+
+
 def test_topic_options():
     assert topic_options("a:1,b:2", "rides", "earliest") == {
         "kafka.bootstrap.servers": "a:1,b:2",

@@ -16,12 +16,18 @@ from tripforge.operators.messages import (
     to_json_rides,
 )
 from tripforge.plans import batch, ingest
-from tripforge.session import build_session
+from tripforge.session import build_session, size_shuffles
 from tripforge.sinks.files import publish
 from tripforge.sources.files import read_csv, read_text_csv
 from tripforge.sources.tables import TableStore
 from tripforge.sources.topics import read_topic
-from tripforge.streaming.jobs import start_landing_queries, start_ride_queries, supervise
+from tripforge.streaming.jobs import (
+    rides_log,
+    start_count_query,
+    start_landing_queries,
+    start_ride_queries,
+    supervise,
+)
 
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -33,6 +39,10 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
 def dims(spark: SparkSession, args: argparse.Namespace) -> None:
     store = TableStore(spark, args.dataset, args.format)
     source = TableStore(spark, args.trips or args.dataset, args.format)
+    if args.grow:
+        for name, rows in batch.run_grow_dims(source.read(batch.ALL_CLEANED), store).items():
+            print(f"added {rows} to {store.address(name)}")
+        return
     for name in batch.run_dims(source, store, args.mode):
         print(f"wrote {store.address(name)}")
 
@@ -69,13 +79,23 @@ def csv_to_parquet(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
-    ingest.land_months(
+    absent = ingest.land_months(
         spark, args.input, args.color, args.output, args.year, args.months, args.mode
     )
+    if absent:
+        print(f"Months without a file: {absent}")
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
     store = TableStore(spark, args.dataset, args.format)
+    if args.replace:
+        loaded = ingest.replace_months(
+            spark, args.input, args.color, args.year, args.months, store, args.table_name
+        )
+        print(f"Total rows: {sum(loaded.rows.values())}")
+        if loaded.absent:
+            print(f"Months without a file: {loaded.absent}")
+        return
     paths = ingest.month_paths(args.input, args.color, args.year, args.months, "parquet")
     print(f"Total rows: {ingest.append_months(spark, paths, store, args.table_name)}")
 
@@ -104,6 +124,7 @@ def stream_counts(spark: SparkSession, args: argparse.Namespace) -> None:
             args.watermark,
             parse_json if args.json else parse_delimited,
         ),
+        args.restarts,
     )
 
 
@@ -119,8 +140,25 @@ def stream_landing(spark: SparkSession, args: argparse.Namespace) -> None:
             checkpoints,
             args.format,
             args.trigger,
-            spread=args.spread,
+            parse=parse_json if args.json else parse_delimited,
         ),
+        args.restarts,
+    )
+
+
+def compact_rides(spark: SparkSession, args: argparse.Namespace) -> None:
+    rides_log(spark, args.output).compact(args.last_batch, args.file_rows)
+
+
+def stream_windows(spark: SparkSession, args: argparse.Namespace) -> None:
+    messages = read_topic(spark, args.servers, args.topic, args.starting)
+    parse = parse_json if args.json else parse_delimited
+    supervise(
+        spark,
+        lambda: [
+            start_count_query(messages, args.output, args.checkpoint, args.trigger, args.watermark, parse)
+        ],
+        args.restarts,
     )
 
 
@@ -133,6 +171,7 @@ def parser() -> argparse.ArgumentParser:
         sub.set_defaults(run=run)
         if mode:
             sub.add_argument("--mode", default=mode)
+        sub.add_argument("--input_gb", type=float, default=0, help="input of the job, to size its shuffles by")
         return sub
 
     def tables(sub: argparse.ArgumentParser, required: bool = True) -> None:
@@ -149,6 +188,8 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--topic", required=True)
         sub.add_argument("--starting", default="latest")
         sub.add_argument("--trigger", default="5 seconds")
+        sub.add_argument("--json", action="store_true", help="messages are JSON rides")
+        sub.add_argument("--restarts", type=int, default=0, help="times that failed queries are started again")
 
     sub = job("clean", clean)
     tables(sub)
@@ -158,7 +199,10 @@ def parser() -> argparse.ArgumentParser:
         sub = job(name, run)
         tables(sub)
         sub.add_argument("--trips", help="where the cleaned trips are, if elsewhere")
-    sub.add_argument("--broadcast", action="store_true")
+        if name == "dims":
+            sub.add_argument("--grow", action="store_true", help="add new keys to stored dimensions, whose ids stay")
+        else:
+            sub.add_argument("--broadcast", action="store_true")
 
     sub = job("revenue", revenue, mode=None)
     tables(sub, required=False)
@@ -188,6 +232,9 @@ def parser() -> argparse.ArgumentParser:
     tables(sub)
     sub.add_argument("--year", type=int, default=2021)
     sub.add_argument("--table_name", default="rides")
+    sub.add_argument(
+        "--replace", action="store_true", help="put the months in place of those loaded before; needs a file format"
+    )
 
     sub = job("publish", publish_rides, mode=None)
     sub.add_argument("--input", required=True)
@@ -200,20 +247,32 @@ def parser() -> argparse.ArgumentParser:
     topic(sub)
     sub.add_argument("--output_topic", required=True)
     sub.add_argument("--watermark", help="how late rides may come; without it all windows are kept")
-    sub.add_argument("--json", action="store_true", help="messages are JSON rides")
+
+    sub = job("stream-windows", stream_windows, mode=None)
+    topic(sub)
+    for name in ("--output", "--checkpoint"):
+        sub.add_argument(name, required=True)
+    sub.add_argument("--watermark", help="how late rides may come; without it all windows are kept")
 
     sub = job("stream-landing", stream_landing, mode=None)
     topic(sub)
     for name in ("--output", "--table", "--checkpoint"):
         sub.add_argument(name, required=True)
     sub.add_argument("--format", help="connector of the table; the catalog without it")
-    sub.add_argument("--spread", type=int, default=8, help="tasks that one zone is spread over")
+
+    sub = job("compact-rides", compact_rides, mode=None)
+    sub.add_argument("--output", required=True, help="the landing job's output")
+    sub.add_argument("--last_batch", type=int, required=True, help="a finished batch of the landing job")
+    sub.add_argument("--file_rows", type=int, default=1_000_000)
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(f"tripforge-{args.job}"), args)
+    spark = build_session(f"tripforge-{args.job}")
+    if args.input_gb or not spark.sparkContext.master.startswith("local"):
+        size_shuffles(spark, int(args.input_gb * (1 << 30)))
+    args.run(spark, args)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripforge.staging import stage
@@ -44,3 +46,16 @@ def with_surrogate_key(df: DataFrame, keys: list[str], id_col: str) -> DataFrame
     return located.join(F.broadcast(offsets), "_range").select(
         *df.columns, (F.col("_before") + F.col("_row") + 1).alias(id_col)
     )
+
+
+def extend_surrogate_key(stored: DataFrame, df: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """The natural keys of ``df`` that ``stored`` lacks, with ids that go on after its largest.
+
+    Stored ids do not change, and old and new ones together are dense again. Only the new keys are sorted and
+    numbered. Null keys equal each other. ``stored`` is ``(keys, id_col)`` and has ids 1..n.
+    """
+    known = stored.select(*[F.col(k).alias(f"known_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"known_{k}")) for k in keys])
+    new = df.select(*keys).distinct().join(known, same, "left_anti")
+    top = stored.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).first()["top"]
+    return with_surrogate_key(new, keys, id_col).withColumn(id_col, F.col(id_col) + top)

@@ -10,37 +10,55 @@ from tripforge.functions.codes import tip_band
 from tripforge.staging import broadcast_if_small, stage
 
 
-def _with_moments(
-    rows: DataFrame, dims: dict[str, DataFrame], times: list[str], distances: list[str]
-) -> DataFrame:
-    """Inner join of fact rows with both near-fact-size dimensions, one shuffle of the rows.
+def trip_moments(dims: dict[str, DataFrame]) -> DataFrame:
+    """Distance, duration, times and calendar parts of every trip id, with the id of its time pair as ``own_id``.
 
-    The two dimensions are narrow and meet first, on the time pair that both hold; the rows then
-    join once, on ``trip_distance_id``. Where a row's ``datetime_id`` is not the one of its
-    trip's time pair (not so in a star built from its own trips), it goes through both joins.
+    Both near-fact-size dimensions, which are narrow, meet on the time pair that both hold.
     """
     pair = ["pickup_datetime", "dropoff_datetime"]
-    by_id = dims["dim_datetime"].select("datetime_id", *times)
-    by_trip = dims["dim_trip"].select("trip_distance_id", *distances)
-    moments = (
-        dims["dim_trip"]
-        .select("trip_distance_id", *distances, *pair)
-        .join(dims["dim_datetime"].select(F.col("datetime_id").alias("own_id"), *{*times, *pair}), pair, "left")
-        .select("trip_distance_id", "own_id", *times, *distances)
-    )
-    joined = rows.join(moments, "trip_distance_id")
-    agrees = F.coalesce(F.col("datetime_id") == F.col("own_id"), F.lit(False))
-    same = joined.where(agrees).select(*rows.columns, *times, *distances)
-    other = joined.where(~agrees).select(*rows.columns)
-    apart = other.join(by_id, "datetime_id").join(by_trip, "trip_distance_id")
-    return same.union(apart.select(*same.columns))
+    own = dims["dim_datetime"].withColumnRenamed("datetime_id", "own_id")
+    return dims["dim_trip"].join(own, pair, "left")
 
 
-def overview_report(fact: DataFrame, dims: dict[str, DataFrame], zones: DataFrame) -> DataFrame:
+def _with_moments(
+    rows: DataFrame,
+    dims: dict[str, DataFrame],
+    times: list[str],
+    distances: list[str],
+    moments: DataFrame | None,
+) -> DataFrame:
+    """Inner join of fact rows with both near-fact-size dimensions, by one join of the wide rows.
+
+    The rows meet the moments on ``trip_distance_id``. A row whose ``datetime_id`` is not the one of its
+    trip's time pair (not so in a star built from its own trips) takes its times from ``dim_datetime``; a pass over
+    the two ids alone tells which ids those are, and without any the rows are joined no further.
+    """
+    if moments is None:
+        moments = trip_moments(dims)
+    agrees = F.coalesce(F.col("datetime_id") == F.col("own_id"), F.lit(False))
+    ids = rows.select("datetime_id", "trip_distance_id").join(moments.select("trip_distance_id", "own_id"), "trip_distance_id")
+    apart = stage(ids.where(~agrees).select("datetime_id").distinct(), "apart")
+    joined = rows.join(moments.select("trip_distance_id", "own_id", *times, *distances), "trip_distance_id")
+    if apart.isEmpty():
+        return joined.select(*rows.columns, *times, *distances)
+    by_id = stage(dims["dim_datetime"].select("datetime_id", *times).join(apart, "datetime_id"), "apart-times")
+    renamed = by_id.toDF("apart_id", *[f"apart_{c}" for c in times])
+    # Rows that agree match nothing; ids are positive, so they are spread over negative numbers.
+    spread = -1 - F.pmod(F.xxhash64("trip_distance_id", "datetime_id"), F.lit(1 << 40))
+    key = F.when(agrees, spread).otherwise(F.coalesce("datetime_id", spread))
+    found = joined.join(broadcast_if_small(renamed), key == F.col("apart_id"), "left")
+    own_times = [F.when(agrees, F.col(c)).otherwise(F.col(f"apart_{c}")).alias(c) for c in times]
+    return found.where(agrees | F.col("apart_id").isNotNull()).select(*rows.columns, *own_times, *distances)
+
+
+def overview_report(
+    fact: DataFrame, dims: dict[str, DataFrame], zones: DataFrame, moments: DataFrame | None = None
+) -> DataFrame:
     """One row per trip: riders, time, revenue, distance, service, payment, zone, rate.
 
     Inner joins: a trip whose pickup zone is not in ``zones`` is left out. Zones join
-    the location dimension first, so one small table meets the fact.
+    the location dimension first, so one small table meets the fact. ``moments`` are stored
+    :func:`trip_moments`, if there are any.
     """
     places = stage(
         dims["dim_location"]
@@ -65,7 +83,7 @@ def overview_report(fact: DataFrame, dims: dict[str, DataFrame], zones: DataFram
         )
     )
     times, distances = ["pickup_datetime", "pickup_month"], ["trip_distance"]
-    return _with_moments(rows, dims, times, distances).select(
+    return _with_moments(rows, dims, times, distances, moments).select(
         F.col("passenger_count").alias("NumPassengers"),
         "pickup_datetime",
         F.col("fare_amount").alias("Revenue"),
@@ -93,7 +111,9 @@ def routes(dim_location: DataFrame, zones: DataFrame) -> DataFrame:
     )
 
 
-def analytics_report(fact: DataFrame, dims: dict[str, DataFrame], zones: DataFrame) -> DataFrame:
+def analytics_report(
+    fact: DataFrame, dims: dict[str, DataFrame], zones: DataFrame, moments: DataFrame | None = None
+) -> DataFrame:
     """One row per trip: route, hour, weekday, distance, duration, service, tip band."""
     named = stage(routes(dims["dim_location"], zones), "routes")
     rows = fact.join(broadcast_if_small(named), "location_id").select(
@@ -108,7 +128,7 @@ def analytics_report(fact: DataFrame, dims: dict[str, DataFrame], zones: DataFra
         "tolls_amount",
     )
     times, distances = ["pickup_datetime"], ["trip_distance", "trip_duration"]
-    return _with_moments(rows, dims, times, distances).select(
+    return _with_moments(rows, dims, times, distances, moments).select(
         "pickup_datetime",
         "Zone",
         "Borough",

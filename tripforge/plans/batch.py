@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripforge import schemas
-from tripforge.operators.dims import DIMENSIONS, dim_datetime, dim_trip
+from tripforge.operators.dims import DIMENSIONS, KEYS, dim_datetime, dim_trip, grow
 from tripforge.operators.fact import fact_table, fact_table_broadcast
 from tripforge.operators.quality import clean
 from tripforge.operators.reports import analytics_report, overview_report
 from tripforge.operators.revenue import monthly_revenue
 from tripforge.operators.unify import to_common, unify
-from tripforge.sinks.files import with_date, write_single_file
+from tripforge.sinks.files import append_counted, with_date, write_single_file
 from tripforge.sources.files import read_parquet
 from tripforge.sources.tables import TableStore
+from tripforge.staging import stage
 
 # Table names.
 RAW = "{service}_trips_data"
@@ -25,6 +26,7 @@ ALL_CLEANED = "trips_data_cleaned"
 FACT = "fact_table"
 ZONES = "zones"
 SERVICES = [schemas.GREEN, schemas.YELLOW]
+CODE_DIMS = ["dim_passenger", "dim_location", "dim_rate", "dim_payment_type"]
 
 
 def clean_all(raw_by_service: dict[str, DataFrame]) -> DataFrame:
@@ -57,21 +59,42 @@ def run_clean(store: TableStore, input_table: str, mode: str = "errorifexists")
 def build_dims(trips: DataFrame) -> dict[str, DataFrame]:
     """All six dimensions of stored ``trips``, numbered and ready for repeated use.
 
-    The dimensions are independent Spark jobs, so they are submitted side by side. The
-    time pairs are taken from ``dim_trip``, which is narrower than the trips.
+    Two scans: one for the time pairs and distances, one for the distinct combinations of all codes, which
+    the four small dimensions are then cut from. The dimensions are independent Spark jobs, so they are
+    submitted side by side. The time pairs are taken from ``dim_trip``, which is narrower than the trips.
     """
 
     def trip_and_datetime() -> dict[str, DataFrame]:
         moments = dim_trip(trips)
         return {"dim_trip": moments, "dim_datetime": dim_datetime(moments)}
 
-    others = [name for name in DIMENSIONS if name not in ("dim_trip", "dim_datetime")]
-    with ThreadPoolExecutor(len(others) + 1) as pool:
+    with ThreadPoolExecutor(len(CODE_DIMS) + 1) as pool:
         large = pool.submit(trip_and_datetime)
-        small = dict(zip(others, pool.map(lambda name: DIMENSIONS[name](trips), others)))
+        codes = code_combinations(trips)
+        small = dict(zip(CODE_DIMS, pool.map(lambda name: DIMENSIONS[name](codes), CODE_DIMS)))
         return {**small, **large.result()}
 
 
+def code_combinations(trips: DataFrame) -> DataFrame:
+    """The distinct combinations of the codes that the small dimensions are keyed by, written."""
+    return stage(trips.select(*[k for name in CODE_DIMS for k in KEYS[name][0]]).distinct(), "codes")
+
+
+def run_grow_dims(trips: DataFrame, target: TableStore) -> dict[str, int]:
+    """Add to the stored dimensions what further trips need; rows added to each.
+
+    Stored ids stay, so facts that were written before keep their meaning. Every dimension's new rows are written
+    to the shared folder before they are appended to the table that they were told apart from.
+    """
+    codes = code_combinations(trips)
+    added = {}
+    for name in DIMENSIONS:
+        source = codes if name in CODE_DIMS else trips
+        new = stage(grow(name, target.read(name), source), f"{name}-new")
+        added[name] = append_counted(new, target, name)
+    return added
+
+
 def run_dims(trips: TableStore, target: TableStore, mode: str = "errorifexists") -> list[str]:
     dims = build_dims(trips.read(ALL_CLEANED))
     target.write_all(dims, mode)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tripforge import schemas
-from tripforge.operators.repair import repair_types
+from tripforge.operators.reconcile import merge_frames, merge_kinds
+from tripforge.operators.repair import repair_types, unknown_kinds
 from tripforge.sinks.files import append_counted, write_parquet
 from tripforge.sources.files import read_months, read_parquet, read_text_csv
 from tripforge.sources.tables import TableStore
@@ -45,10 +50,26 @@ def land_file(
     spark: SparkSession, path: str, service: str, output: str, mode: str = "errorifexists"
 ) -> None:
     """Repair the types of a raw CSV file and land it as gzip Parquet."""
-    repaired = repair_types(read_text_csv(spark, path), service)
+    _land(repair_types(read_text_csv(spark, path), service), output, mode)
+
+
+def _land(repaired: DataFrame, output: str, mode: str) -> None:
     write_parquet(repaired.hint("rebalance"), output, mode=mode, compression="gzip")
 
 
+def _present(months: Iterable[int], read: Callable[[int], DataFrame]) -> tuple[dict[int, DataFrame], list[int]]:
+    """Frames of the months that have files, and the months that have none."""
+    frames, absent = {}, []
+    for month in months:
+        try:
+            frames[month] = read(month)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            absent.append(month)
+    return frames, absent
+
+
 def land_months(
     spark: SparkSession,
     base: str,
@@ -57,25 +78,81 @@ def land_months(
     year: int,
     months: Iterable[int],
     mode: str = "errorifexists",
-) -> None:
-    """Land each month on its own, where :func:`append_months` looks for it.
+) -> list[int]:
+    """Land each month on its own, where :func:`append_months` looks for it; the months without a file.
 
-    A month is read by its own header. Its Parquet folder is named as its CSV file.
+    A month is read by its own header, and its Parquet folder is named as its CSV file. Columns outside the
+    service's layout get one type over all these months, the least that holds what each of them has.
     """
-    months = list(months)
-    sources = month_paths(base, service, year, months, "csv.gz")
-    targets = month_paths(output, service, year, months, "parquet")
-    for source, target in zip(sources, targets):
-        land_file(spark, source, service, target, mode)
+
+    def path(folder: str, month: int, extension: str) -> str:
+        return month_paths(folder, service, year, [month], extension)[0]
+
+    frames, absent = _present(months, lambda m: read_text_csv(spark, path(base, m, "csv.gz")))
+    kinds = merge_kinds(unknown_kinds(frame, service) for frame in frames.values())
+    for month, frame in frames.items():
+        _land(repair_types(frame, service, kinds), path(output, month, "parquet"), mode)
+    return absent
 
 
 def append_months(spark: SparkSession, paths: list[str], store: TableStore, table: str) -> int:
     """Append landed Parquet months to a table in one job; rows loaded.
 
-    Months are matched by column name; a column that a month lacks is null there.
+    Months are matched by column name without regard to case; a column that a month lacks is null there, one that
+    the table lacks is added to it. Months without a file are passed over.
+    """
+    frames, _ = _present(range(len(paths)), lambda i: read_parquet(spark, paths[i]))
+    return append_counted(merge_frames(list(frames.values())), store, table) if frames else 0
+
+
+# What a loaded row is of, and the ledger's columns.
+MONTH = ["service", "year", "month"]
+LEDGER = "{table}_loads"
+LEDGER_SCHEMA = "service string, year int, month int, rows long, load_id string, loaded_at timestamp"
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """Rows of each month that was loaded, and the months that had no file."""
+
+    rows: dict[int, int]
+    absent: list[int]
+
+
+def replace_months(
+    spark: SparkSession, base: str, service: str, year: int, months: Iterable[int], store: TableStore, table: str
+) -> Loaded:
+    """Load landed months in place of what the table had of them; a load that is run again changes nothing.
+
+    The table is partitioned by service, year and month, and only partitions that are loaded are written. Rows
+    are counted during the write and noted in the ledger after it, one line for each month and load; the last line of
+    a month tells what the table holds of it.
     """
-    months = [read_parquet(spark, path) for path in paths]
-    whole = months[0]
-    for month in months[1:]:
-        whole = whole.unionByName(month, allowMissingColumns=True)
-    return append_counted(whole, store, table)
+    landed, absent = _present(
+        months, lambda m: read_parquet(spark, month_paths(base, service, year, [m], "parquet")[0])
+    )
+    if not landed:
+        return Loaded({}, absent)
+    # A column of the file that is called like one of these would be taken for the partition.
+    of_month = [
+        frame.drop(*MONTH).withColumns({"service": F.lit(service), "year": F.lit(year), "month": F.lit(month)})
+        for month, frame in landed.items()
+    ]
+    counted = Observation()
+    rows = merge_frames(of_month).observe(
+        counted, *[F.count(F.when(F.col("month") == m, 1)).alias(f"m{m}") for m in landed]
+    )
+    store.replace_parts(rows, table, MONTH)
+    found = {m: counted.get[f"m{m}"] for m in landed}
+    load_id = uuid4().hex
+    lines = [(service, year, m, n, load_id) for m, n in found.items()]
+    ledger = spark.createDataFrame(lines, LEDGER_SCHEMA.rsplit(",", 1)[0])
+    store.append(ledger.withColumn("loaded_at", F.current_timestamp()).coalesce(1), LEDGER.format(table=table))
+    return Loaded(found, absent)
+
+
+def loaded_months(store: TableStore, table: str) -> DataFrame:
+    """What the table holds by its ledger: the last load of each month."""
+    ledger = store.read(LEDGER.format(table=table))
+    last = F.max_by(F.struct("rows", "load_id", "loaded_at"), "loaded_at").alias("last")
+    return ledger.groupBy(*MONTH).agg(last).select(*MONTH, "last.*")

@@ -74,12 +74,25 @@ YELLOW_SCHEMA = layout(
     }
 )
 
-SERVICE_SCHEMAS = {GREEN: GREEN_SCHEMA, YELLOW: YELLOW_SCHEMA}
+FHV_SCHEMA = layout(
+    {
+        "dispatching_base_num": "string",
+        "pickup_datetime": "timestamp",
+        "dropOff_datetime": "timestamp",
+        "PULocationID": "int",
+        "DOLocationID": "int",
+        "SR_Flag": "int",
+        "Affiliated_base_number": "string",
+    }
+)
+
+SERVICE_SCHEMAS = {GREEN: GREEN_SCHEMA, YELLOW: YELLOW_SCHEMA, FHV: FHV_SCHEMA}
 
 # Pickup and dropoff column of each service's raw records.
 SERVICE_TIMES = {
     GREEN: ("lpep_pickup_datetime", "lpep_dropoff_datetime"),
     YELLOW: ("tpep_pickup_datetime", "tpep_dropoff_datetime"),
+    FHV: ("pickup_datetime", "dropOff_datetime"),
 }
 
 # The columns every service shares once the times are renamed.

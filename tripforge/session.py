@@ -35,6 +35,29 @@ SQL_SETTINGS = {
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
+# A shuffle starts with so many partitions for each core of the cluster, and AQE joins the small ones.
+PARTITIONS_PER_CORE = 4
+#: Shuffled bytes that one partition should get.
+PARTITION_BYTES = 128 << 20
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_partitions(spark: SparkSession, input_bytes: int = 0) -> int:
+    """Partitions that a shuffle starts with: for the cluster's cores or the job's input, whichever asks for more."""
+    by_cores = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    return max(by_cores, -(-input_bytes // PARTITION_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Let the shuffles of batch jobs start with enough partitions that each fits a task's memory.
+
+    Range partitioning without a number, as that of the surrogate keys, and full-row de-duplication follow it too.
+    Streams do not: their state keeps ``spark.sql.shuffle.partitions``.
+    """
+    spark.conf.set(_INITIAL, str(shuffle_partitions(spark, input_bytes)))
+    return spark
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL settings on an existing session."""
     for key, value in SQL_SETTINGS.items():

@@ -74,10 +74,14 @@ def replace_table(
 
 
 def append_counted(df: DataFrame, store: TableStore, name: str) -> int:
-    """Append to a table and return the rows loaded, counted during the write itself."""
+    """Append to a table and return the rows loaded, counted during the write itself.
+
+    Columns are matched by name without regard to case. The table gets columns that it lacks, and one that its type
+    might not hold is an error.
+    """
     loaded = Observation()
     observed = df.observe(loaded, F.count(F.lit(1)).alias("rows"))
-    store.write(observed, name, mode="append")
+    store.append(observed, name)
     return loaded.get["rows"]
 
 

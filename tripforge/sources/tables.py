@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tripforge.operators.reconcile import fit_to
 
 # Formats that keep the columns' names and types.
 _FILE_FORMATS = {"parquet", "orc"}
 CATALOG = "catalog"
+#: Beside a file table's data, where Spark's readers pass it over: its schema, once columns were added to it.
+_SCHEMA = "_schema"
 
 
 @dataclass(frozen=True)
@@ -33,9 +40,70 @@ class TableStore:
             return self.spark.table(self.address(name))
         reader = self.spark.read.format(self.fmt)
         if self.fmt in _FILE_FORMATS:
-            return reader.load(self.address(name))
+            # Files that were written before a column was added give nulls for it.
+            grown = self._grown_schema(name)
+            return (reader.schema(grown) if grown else reader).load(self.address(name))
         return reader.option("table", self.address(name)).load()
 
+    def exists(self, name: str) -> bool:
+        if self.fmt == CATALOG:
+            return self.spark.catalog.tableExists(self.address(name))
+        try:
+            self.read(name)
+        except AnalysisException as missing:
+            if missing.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
+        return True
+
+    def _grown_schema(self, name: str) -> T.StructType | None:
+        """The last schema noted by :meth:`append`; one small file, so that no read merges all footers."""
+        try:
+            notes = self.spark.read.schema("number long, schema string").json(f"{self.address(name)}/{_SCHEMA}")
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        last = notes.orderBy("number", ascending=False).head(1)
+        return T.StructType.fromJson(json.loads(last[0]["schema"])) if last else None
+
+    def _note_schema(self, name: str, schema: T.StructType) -> None:
+        note = self.spark.createDataFrame([(len(schema), schema.json())], "number long, schema string")
+        note.coalesce(1).write.mode("append").json(f"{self.address(name)}/{_SCHEMA}")
+
+    def prepare(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as rows of the stored table, which gets the columns that are new; ``df`` itself if there is none.
+
+        A column that the table's type might not hold is an error, and nothing is changed. The new schema is noted
+        before any row is written: readers then see nulls in it, never rows without their columns.
+        """
+        if not self.exists(name):
+            return df
+        stored = self.read(name).schema
+        fitted, grown = fit_to(df, stored)
+        added = grown.fields[len(stored) :]
+        if added and self.fmt == CATALOG:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.address(name)} ADD COLUMNS ({columns})")
+        elif added and self.fmt in _FILE_FORMATS:
+            self._note_schema(name, grown)
+        return fitted
+
+    def append(self, df: DataFrame, name: str) -> None:
+        """Add rows, and the columns that the table lacks."""
+        self.write(self.prepare(df, name), name, mode="append")
+
+    def replace_parts(self, df: DataFrame, name: str, parts: list[str]) -> None:
+        """Write ``df`` in place of the partitions that it has rows of; others stay. For file formats.
+
+        A write that is run again replaces what it wrote before.
+        """
+        if self.fmt not in _FILE_FORMATS:
+            raise ValueError(f"partitions are replaced in file tables, not in format {self.fmt!r}")
+        fitted = self.prepare(df, name)
+        writer = fitted.hint("rebalance", *parts).write.format(self.fmt).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(self.address(name))
+
     def write(
         self,
         df: DataFrame,

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tripforge.operators.messages import count_messages, parse_delimited
+from tripforge.streaming.batch_log import BatchLog, KeyedLog, changes_sink, log_sink
 from tripforge.streaming.counts import count_by, observe_rejects, windowed_count
 from tripforge.streaming.sinks import (
     FIVE_SECONDS,
     console_sink,
-    file_sink,
     new_checkpoint,
     table_sink,
     topic_sink,
@@ -71,6 +73,28 @@ def start_ride_queries(
     ]
 
 
+def start_count_query(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: str | None = FIVE_SECONDS,
+    watermark: str | None = None,
+    parse: Parse = parse_delimited,
+) -> StreamingQuery:
+    """Window counts kept as a table: a batch writes the windows that it changed, not all since the start."""
+    rides = rides_from(messages, parse)
+    return changes_sink(windowed_vendor_counts(rides, watermark), counts_log(rides.sparkSession, path), checkpoint, trigger)
+
+
+def counts_log(spark: SparkSession, path: str) -> KeyedLog:
+    return KeyedLog(spark, path, keys=("window", "vendor_id"))
+
+
+def rides_log(spark: SparkSession, path: str) -> BatchLog:
+    """Where landed rides lie, by pickup zone; both message forms name it so."""
+    return BatchLog(spark, path, "PULocationID")
+
+
 def start_landing_queries(
     messages: DataFrame,
     path: str,
@@ -79,21 +103,43 @@ def start_landing_queries(
     fmt: str | None = None,
     trigger: str | None = FIVE_SECONDS,
     table_path: str | None = None,
-    spread: int = 8,
+    parse: Parse = parse_delimited,
 ) -> list[StreamingQuery]:
     """Raw rides to files by pickup zone and to a table; two queries, two checkpoints.
 
-    Each query reads the source itself, so that one can fail or lag without the other.
+    Each query reads the source itself, so that one can fail or lag without the other. The files are a
+    :func:`rides_log`, which splits a hot zone over all tasks and packs small files on request.
     """
-    rides = rides_from(messages)
+    rides = rides_from(messages, parse)
+    by_zone = rides.withColumnRenamed("pu_location_id", "PULocationID")
     return [
-        file_sink(rides, path, checkpoints[0], trigger=trigger, spread=spread),
+        log_sink(by_zone, rides_log(rides.sparkSession, path), checkpoints[0], trigger),
         table_sink(rides, table, checkpoints[1], fmt=fmt, trigger=trigger, path=table_path),
     ]
 
 
-def supervise(spark: SparkSession, start: Callable[[], list[StreamingQuery]]) -> None:
-    """Start queries and wait until one of them ends; earlier ones are forgotten first."""
-    spark.streams.resetTerminated()
-    start()
-    spark.streams.awaitAnyTermination()
+def supervise(
+    spark: SparkSession,
+    start: Callable[[], list[StreamingQuery]],
+    restarts: int = 0,
+    pause: float = 5.0,
+) -> int:
+    """Start queries and wait until one of them ends; earlier ones are forgotten first. Restarts made.
+
+    A query that fails is started again with the others, from their checkpoints, up to ``restarts`` times and after a
+    pause that doubles each time; the last failure is raised. The others are stopped before.
+    """
+    made = 0
+    while True:
+        spark.streams.resetTerminated()
+        queries = start()
+        try:
+            spark.streams.awaitAnyTermination()
+            return made
+        except StreamingQueryException:
+            for query in queries:
+                query.stop()
+            if made == restarts:
+                raise
+            time.sleep(pause * 2**made)
+            made += 1

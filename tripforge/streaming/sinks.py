@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -12,11 +14,11 @@ from tripforge.staging import shared_folder
 FIVE_SECONDS = "5 seconds"
 
 
-def _writer(df: DataFrame, mode: str, trigger: str | None, checkpoint: str | None) -> DataStreamWriter:
-    writer = df.writeStream.outputMode(mode)
-    # No interval: process what is there, in batches, and stop.
-    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
-    return writer.option("checkpointLocation", checkpoint) if checkpoint else writer
+def writer(df: DataFrame, mode: str, trigger: str | None, checkpoint: str | None) -> DataStreamWriter:
+    """A stream's writer; without an interval it takes what is there, in batches, and stops."""
+    out = df.writeStream.outputMode(mode)
+    out = out.trigger(processingTime=trigger) if trigger else out.trigger(availableNow=True)
+    return out.option("checkpointLocation", checkpoint) if checkpoint else out
 
 
 def console_sink(
@@ -32,18 +34,21 @@ def console_sink(
         print(f"Batch {batch_id}")
         batch.show(rows, truncate=False)
 
-    return _writer(df, mode, trigger, checkpoint).foreachBatch(show).start()
+    return writer(df, mode, trigger, checkpoint).foreachBatch(show).start()
 
 
 def memory_sink(
-    df: DataFrame, name: str, query: str, mode: str = "append"
+    df: DataFrame, name: str, query: str, mode: str = "append", checkpoint: str | None = None
 ) -> tuple[DataFrame, StreamingQuery]:
     """Keep the output in driver memory and query it; for looking at small results.
 
     ``query`` names the table as ``{table_name}``. The input present at the start is
-    processed before the query runs, so the answer is never that of an empty table.
+    processed before the query runs, so the answer is never that of an empty table. The checkpoint is
+    in the shared folder; only complete results can be resumed from it, so by default each start has its own.
     """
-    running = df.writeStream.outputMode(mode).format("memory").queryName(name).start()
+    place = checkpoint or new_checkpoint(df, f"memory-{name}-{uuid4().hex}")
+    out = df.writeStream.outputMode(mode).format("memory").queryName(name)
+    running = out.option("checkpointLocation", place).start()
     running.processAllAvailable()
     return df.sparkSession.sql(query.format(table_name=name)), running
 
@@ -56,8 +61,8 @@ def topic_sink(
     mode: str = "complete",
     trigger: str | None = FIVE_SECONDS,
 ) -> StreamingQuery:
-    writer = _writer(messages, mode, trigger, checkpoint).format(TOPIC_FORMAT)
-    return writer.option("kafka.bootstrap.servers", servers).option("topic", topic).start()
+    out = writer(messages, mode, trigger, checkpoint).format(TOPIC_FORMAT)
+    return out.option("kafka.bootstrap.servers", servers).option("topic", topic).start()
 
 
 def gather(df: DataFrame, column: str, spread: int) -> DataFrame:
@@ -84,8 +89,8 @@ def file_sink(
     Without the gathering, a batch would leave one file per zone and task.
     """
     rows = gather(df, partition_by, spread) if partition_by else df
-    writer = _writer(rows, mode, trigger, checkpoint).format(fmt).option("path", path)
-    return (writer.partitionBy(partition_by) if partition_by else writer).start()
+    out = writer(rows, mode, trigger, checkpoint).format(fmt).option("path", path)
+    return (out.partitionBy(partition_by) if partition_by else out).start()
 
 
 def table_sink(
@@ -98,10 +103,10 @@ def table_sink(
     path: str | None = None,
 ) -> StreamingQuery:
     """Append to a table: of the catalog, or of the connector ``fmt``."""
-    writer = _writer(df, mode, trigger, checkpoint)
+    out = writer(df, mode, trigger, checkpoint)
     if fmt:
-        return writer.format(fmt).option("table", table).start()
-    return (writer.option("path", path) if path else writer).toTable(table, format="parquet")
+        return out.format(fmt).option("table", table).start()
+    return (out.option("path", path) if path else out).toTable(table, format="parquet")
 
 
 def snapshot_path(path: str, batch_id: int) -> str:
@@ -121,7 +126,7 @@ def snapshot_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(snapshot_path(path, batch_id))
 
-    return _writer(df, "complete", trigger, checkpoint).foreachBatch(write).start()
+    return writer(df, "complete", trigger, checkpoint).foreachBatch(write).start()
 
 
 def fan_out_sink(
@@ -141,7 +146,7 @@ def fan_out_sink(
         finally:
             batch.unpersist()
 
-    return _writer(df, "append", trigger, checkpoint).foreachBatch(write).start()
+    return writer(df, "append", trigger, checkpoint).foreachBatch(write).start()
 
 
 def new_checkpoint(df: DataFrame, name: str) -> str:
