@@ -108,7 +108,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(documents: DataFrame) -> DataFrame:
     """Number of tokens, and digests of the ids and of the decoded text, of every document."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.decode(bpe.encode(documents, path, ["doc_id"]), path).select(
+    return bpe.round_trip(documents, path, ["doc_id"]).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
