@@ -29,12 +29,14 @@ from tripforge.plans.ingest import (
     replace_months,
 )
 from tripforge.sinks.files import (
+    by_date,
     replace_table,
     write_by_date,
     write_parquet,
     write_single_file,
 )
 from tripforge.sources.files import external_view, read_csv, read_parquet, read_text_csv
+from tripforge.sources.statistics import analyze_partitions, catalogued_row_counts
 from tripforge.sources.tables import TableStore
 from tripforge.staging import staging_path
 
@@ -425,6 +427,25 @@ def partition_row_counts_query(spark, sf_dir):
     return partition_row_counts(_dated(spark, sf_dir), "trips_by_date")
 
 
+@check(
+    "catalogued_row_counts",
+    f"""WITH {TRIPS_SQL}
+    SELECT 'trips_by_date' AS table_name, CAST(pickup_datetime AS DATE) AS partition_id,
+      count(*) AS total_rows
+    FROM trips GROUP BY 2""",
+)
+def catalogued_row_counts_query(spark, sf_dir):
+    """The counts that the catalogue holds after a load; reading them opens no data file."""
+    path = staging_path(spark, "catalogued")
+    name = f"trips_{path[-12:]}"
+    arranged = by_date(trips(spark, sf_dir), "pickup_datetime")
+    arranged.write.partitionBy("pickup_date").option("path", path).saveAsTable(name)
+    analyze_partitions(spark, name)
+    counts = catalogued_row_counts(spark, name).withColumn("table_name", F.lit("trips_by_date"))
+    spark.sql(f"DROP TABLE {name}")
+    return counts
+
+
 @check(
     "distinct_vendors_in_range",
     f"""WITH {TRIPS_SQL} SELECT DISTINCT "VendorID" FROM trips

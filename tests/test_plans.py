@@ -22,6 +22,7 @@ from tripforge.operators.revenue import monthly_revenue
 from tripforge.plans.batch import build_dims
 from tripforge.sinks.files import by_date, write_by_date
 from tripforge.sources.files import read_parquet
+from tripforge.sources.statistics import analyze_partitions, catalogued_row_counts
 from tripforge.staging import BROADCAST_MAX_BYTES, broadcast_if_small, byte_size, stage, staging_path
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -68,6 +69,17 @@ def test_date_filter_prunes_partitions(spark, stored):
     assert "ReadSchema: struct<>" in counts
 
 
+def test_catalogued_counts_read_no_file(spark):
+    rows = spark.range(100).select(F.expr("date_add(date'2021-01-01', int(id % 4))").alias("pickup_date"), "id")
+    rows.write.partitionBy("pickup_date").saveAsTable("counted_by_date")
+    assert {r["total_rows"] for r in catalogued_row_counts(spark, "counted_by_date").collect()} == {None}
+    analyze_partitions(spark, "counted_by_date")
+    counts = catalogued_row_counts(spark, "counted_by_date")
+    assert "FileScan" not in plan(counts) and "LocalTableScan" in plan(counts) or "ExistingRDD" in plan(counts)
+    assert [(str(r["partition_id"]), r["total_rows"]) for r in counts.collect()] == [(f"2021-01-0{d}", 25) for d in range(1, 5)]
+    spark.sql("DROP TABLE counted_by_date")
+
+
 def test_hot_date_is_split_over_tasks(spark, settings):
     settings(
         spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
