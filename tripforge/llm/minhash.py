@@ -7,11 +7,11 @@ names, so no bin can stay empty. Bins agree with probability about the Jaccard s
 independent minima do, at about one pass over a large set. The first ``BANDS`` * ``ROWS`` bins make the bands, keys
 under which documents meet; at similarity 0.8 all of them differ with a chance of about 3e-6.
 
-Documents with equal sets are one class from the start (a digest of the whole set). Verification compares whole
-shingle sets, from the words themselves:
+Documents with equal words in equal order are one class from the start (a cryptographic digest of all words); other
+equal sets are linked as any similar ones are. Verification compares whole shingle sets, from the words themselves:
 
 1. in each bucket every class is compared with the bucket's least class: bucket size - 1 pairs, not all;
-2. links join classes to components. Only a bucket whose classes are still in different components may hide a
+2. links join classes to components, labelled by their least id. Only a bucket whose classes are still in different components may hide a
    link. There, classes outside the bucket's largest component meet all classes of the bucket, in
    blocks of bounded size; pairs in one component are passed over, the others are estimated from the whole sketches,
    and those that may reach the threshold are compared. A pair is named by the first of its common buckets only.
@@ -19,6 +19,8 @@ shingle sets, from the words themselves:
 So no bucket, hot or not, is gathered in one task or expanded into all its pairs, and nothing caps partners.
 Sketches, links and components are written tables in the shared folder.
 
+``n_shingles`` counts distinct 64-bit hashes of shingles, made of hashes that mix each word's bytes.
+
 Defined results: a null text, and one without words, has an empty set, is linked with nothing and is kept.
 With fewer words than a shingle has, the whole sequence is the one shingle. Repeated rows are in one
 class, of which the row with the least id is kept (every row with that id; ``drop_near_duplicates`` keeps one of
@@ -63,7 +65,7 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of all texts, one text after another, and their numbers."""
     data, offsets = utf8(texts)
     words = Words(lower_ascii(data), offsets, NOT_SPACE)
-    hashes = words.hashes()
+    hashes = words.mixed_hashes()
     sets = []
     for first, last in zip(words.first[:-1], words.first[1:]):
         own = hashes[first:last]
@@ -110,11 +112,7 @@ def sketch(df: DataFrame, keep: list[str], text: str, size: int) -> DataFrame:
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         values, counts = shingle_sets(texts, size)
-        ends = np.cumsum(counts)
-        classes = [
-            hashlib.blake2b(values[end - n : end].tobytes(), digest_size=16).digest() if n else None
-            for end, n in zip(ends, counts)
-        ]
+        classes = [word_digest(t) if n else None for t, n in zip(texts.to_pylist(), counts)]
         filled = sketches(values, counts)
         keys = band_keys(filled)
         short = mix(filled).astype(np.uint8)
@@ -134,6 +132,12 @@ def sketch(df: DataFrame, keep: list[str], text: str, size: int) -> DataFrame:
     return map_texts(df, keep, text, fields, compute)
 
 
+def word_digest(text: str) -> bytes:
+    """Tells sequences of words apart."""
+    # bytes.lower() changes A-Z only; bytes.split() splits at 0x20 and 0x09-0x0D only.
+    return hashlib.blake2b(b" ".join(text.encode().lower().split()), digest_size=16).digest()
+
+
 def similar(a: str, b: str, size: int, threshold: Fraction) -> bool:
     """Whether two texts' whole shingle sets are at least so similar."""
     return _alike(_shingles(a, size), _shingles(b, size), threshold)
@@ -290,16 +294,30 @@ def _bucket_keys(classes: DataFrame) -> DataFrame:
     return bound_batches(classes).select("bands", "class").mapInArrow(run, "key long, band int, class binary")
 
 
-def _in_components(classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``classes`` with the least class of the component, or the class itself."""
-    found = classes.join(nodes.withColumnRenamed("node", "class"), "class", "left")
-    return found.withColumn("component", F.coalesce("component", "class"))
+def _labels(classes: DataFrame) -> DataFrame:
+    """(class, label): labels are in the order of the classes' least ids, null ids last."""
+    return classes.select("class", F.struct(F.col("id").isNull().alias("last"), "id", "class").alias("label"))
+
+
+def _components_of(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """(class, component): the least label of each linked class's component, written."""
+    named = links
+    for end in ("a", "b"):
+        named = named.join(labels.toDF(end, f"label_{end}"), end)
+    found = components(named.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), "near-components")
+    return stage(found.select(F.col("node")["class"].alias("class"), "component"), "near-nodes")
+
+
+def _in_components(classes: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``classes`` with the least label of the component, or the class's own."""
+    found = classes.join(nodes, "class", "left").join(labels, "class")
+    return found.withColumn("component", F.coalesce("component", "label")).drop("label")
 
 
 def _class_components(
     source: DataFrame, size: int, threshold: Fraction
 ) -> tuple[DataFrame, DataFrame]:
-    """The written rows with their classes, and (class, id, component) of every class."""
+    """The written rows with their classes, and (class, component_id) of every class."""
     rows = stage(sketch(source, ["id", "row"], "text", size), "sketches")
     of_class = F.min(F.struct("row", "n_shingles", "bands", "short")).alias("one")
     classes = stage(
@@ -323,10 +341,12 @@ def _class_components(
         "first-pairs",
     )
     links = _verified(first, classes, source, size, threshold, "first-links")
-    nodes = stage(components(links, "near-components"), "near-nodes")
+    labels = _labels(classes)
+    nodes = _components_of(links, labels)
 
     # Step 2: buckets of three classes and more that are still in several components.
-    several = _in_components(members.where("n > 2").select("key", "band", "class"), nodes)
+    several = _in_components(members.where("n > 2").select("key", "band", "class"), nodes, labels)
+    several = several.withColumn("component", F.col("component")["class"])
     mixed = several.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     members_of_mixed = stage(
         several.join(stage(mixed.select("key"), "mixed-buckets"), "key").join(
@@ -337,10 +357,9 @@ def _class_components(
     second = stage(_cross_pairs(members_of_mixed, threshold), "second-pairs")
     more = _cross_links(second, classes, source, size, threshold, "second-links")
     if not more.isEmpty():
-        nodes = stage(components(links.union(more), "near-components"), "near-nodes")
-
-    linked = stage(_in_components(classes.select("class", "id"), nodes), "class-components")
-    return rows, linked
+        nodes = _components_of(links.union(more), labels)
+    linked = _in_components(classes.select("class"), nodes, labels)
+    return rows, stage(linked.select("class", F.col("component")["id"].alias("component_id")), "class-components")
 
 
 def cluster(
@@ -355,9 +374,7 @@ def cluster(
     source = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     source = source.select("id", row_digest("id", "text").alias("row"), "text")
     with dropping_shuffles(df.sparkSession):
-        rows, linked = _class_components(source, size, threshold)
-    least = linked.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = linked.join(least, "component").select("class", "component_id")
+        rows, named = _class_components(source, size, threshold)
     found = rows.select("id", "row", "n_shingles", "class").join(named, "class", "left")
     component_id = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return found.select("id", "row", "n_shingles", component_id.alias("component_id")).withColumn(
