@@ -21,7 +21,7 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents without a language."""
+    """Fill in null languages and drop the documents in which the model finds none."""
     ship(spark)
     return language.keep_identified(docs, language_model(docs))
 
