@@ -25,11 +25,11 @@ from tripforge.staging import stage
 
 ALLOW, BLOCK = "allow", "block"
 
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?[^"'>]*\bcanonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
-_REFRESH = (
-    r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\bcontent\s*=\s*["']?"""
-    r"""[^>]*?\burl\s*=\s*["']?([^"'\s>;]+)"""
-)
+# Each pattern is tried once at a place and, being possessive or anchored, never goes back over what it has read: time
+# follows a page's length, whatever it holds.
+_TAGS = r"(?i)<(?:link|meta)\b[^>]*+>"
+_HREF = r"""(?i)\bhref\s*+=\s*+["']?([^"'\s>]++)"""
+_TO = r"""(?i)\burl\s*+=\s*+["']?([^"'\s>;]++)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,13 +64,38 @@ def best_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Colum
     return found
 
 
+def _tags(html: Column) -> Column:
+    """All link and meta tags. Nothing after the last bracket is one, so each that begins is closed."""
+    markup = html.cast("string")
+    rest = F.length(F.substring_index(markup, ">", -1))
+    return F.regexp_extract_all(F.substring(markup, F.lit(1), F.length(markup) - rest), F.lit(_TAGS), F.lit(0))
+
+
+def _is_canonical(tag: Column) -> Column:
+    """Whether some ``rel=`` is followed by the word canonical before a quote other than its own opening one."""
+    parts = F.split(tag, "[\"']")
+
+    def named(part: Column, place: Column) -> Column:
+        before = F.regexp_extract(part, r"(?is)^(.*)\bcanonical\b", 1)
+        opened = (place > 0) & F.coalesce(F.get(parts, place - 1).rlike(r"(?i)\brel\s*+=\s*+$"), F.lit(False))
+        return part.rlike(r"(?i)\bcanonical\b") & (opened | before.rlike(r"(?i)\brel\s*+="))
+
+    said = F.transform(parts, named)
+    return tag.rlike("(?i)^<link") & F.exists(said, lambda x: x)
+
+
+def _is_refresh(tag: Column) -> Column:
+    return tag.rlike("(?i)^<meta") & tag.rlike(r"""(?i)\bhttp-equiv\s*+=\s*+["']?refresh\b""")
+
+
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Edges (a, b) between addresses, from the canonical links and refreshes of each page."""
-    markup = F.col(f"`{html}`").cast("string")
-    named = F.concat(F.regexp_extract_all(markup, F.lit(_CANONICAL)), F.regexp_extract_all(markup, F.lit(_REFRESH)))
-    said = pages.select(F.col(f"`{url}`").cast("string").alias("url"), F.explode(named).alias("ref")).select(
-        "url", F.replace(F.col("ref"), F.lit("&amp;"), F.lit("&")).alias("ref")
+    tags = pages.select(F.col(f"`{url}`").cast("string").alias("url"), F.explode(_tags(F.col(f"`{html}`"))).alias("tag"))
+    tag = F.col("tag")
+    named = F.when(_is_canonical(tag), F.regexp_extract(tag, _HREF, 1)).when(
+        _is_refresh(tag), F.regexp_extract(tag, _TO, 1)
     )
+    said = tags.select("url", F.replace(named, F.lit("&amp;"), F.lit("&")).alias("ref")).where("ref <> ''")
     here = F.col("url")
     start = F.regexp_extract(here, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(here, r"(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)", 1)
