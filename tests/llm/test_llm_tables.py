@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -66,6 +67,50 @@ def test_search_of_odd_rows(spark):
     assert search.top_k(vectors, vectors.limit(0), 5).count() == 0
 
 
+def test_search_of_mixed_lengths_and_of_ids_with_several_vectors(spark):
+    rng = random.Random(4)
+    rows = [(i, [float(rng.randint(-3, 3)) for _ in range(2 + i % 3)]) for i in range(150)]
+    rows += [(50, [1.0, 2.0, 3.0]), (50, [1.0, 2.0, 3.0]), (50, [-1.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = vectors.where("vec_id % 25 = 0")
+    found = search.top_k(vectors, asked, 4, shard_rows=9, leaf_rows=2, query_rows=3, group_shards=2).collect()
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found)
+    expected = []
+    for q, own in {(i, tuple(v)) for i, v in rows if i % 25 == 0}:
+        same = [r for r in rows if len(r[1]) == len(own)]
+        expected += brute_force(same, [(q, own)], 4)
+    assert got == sorted(expected)
+
+
+def test_trees_bound_their_points_and_cut_searches_short():
+    rng = np.random.default_rng(6)
+    points = np.rint(rng.standard_normal((3000, 3)) * 100)
+    tree = search.build_tree(np.arange(3000), points, 16)
+    rows = np.zeros(3000, int)
+    for number, (left, right, first, last) in enumerate(tree.nodes):
+        inside = tree.points[first:last]
+        assert (inside.min(axis=0) == tree.low[number]).all() and (inside.max(axis=0) == tree.high[number]).all()
+        if left < 0:
+            rows[tree.ids[first:last]] += 1
+        else:
+            assert [*tree.nodes[left][2:], *tree.nodes[right][2:]][1:3] == [tree.nodes[left][3]] * 2
+    assert (rows == 1).all()
+
+    class Counted(np.ndarray):
+        read = 0
+
+        def __getitem__(self, at):
+            if isinstance(at, slice):
+                Counted.read += at.stop - at.start
+            return super().__getitem__(at)
+
+    tree.points = tree.points.view(Counted)
+    best = [[]]
+    search.search_tree(tree, np.array([-1]), points[:1] + 0.0, best, 5)
+    assert sorted((s for s, _ in best[0]), reverse=True) == sorted((points @ points[0]).tolist(), reverse=True)[:5]
+    assert Counted.read < 600
+
+
 # --- components and addresses
 
 
@@ -143,6 +188,48 @@ def test_links_are_resolved(pages):
     assert len(edges) == 6
 
 
+HOSTILE = [
+    "<link rel=x " * 80_000,
+    "<link " + "rel=x " * 150_000 + ">",
+    "<link rel='" + "canonical" * 1 + " " * 900_000,
+    "<meta " + "url= http-equiv " * 60_000 + ">",
+    "<link rel " + " " * 900_000 + ">",
+]
+
+
+def test_hostile_markup_takes_time_by_its_length(spark):
+    schema = "page_id long, url string, html string"
+    found = [(i, f"http://h{i}.example.com/", h) for i, h in enumerate(HOSTILE)]
+    found.append((99, "http://z.example.com/", HOSTILE[0] + canonical("http://bad.net/")))
+    began = time.monotonic()
+    edges = urls.links(spark.createDataFrame(found, schema)).collect()
+    assert time.monotonic() - began < 60
+    assert {(r["a"], r["b"]) for r in edges} <= {("http://z.example.com/", "http://bad.net/")}
+
+
+TAGS = [
+    """<link rel="alternate canonical" href="/a">""", """<link href=/b rel=canonical>""",
+    """<link rel='x' title=canonical href=/c>""", """<link rel = "x" canonical href=/d>""",
+    """<LINK data-rel=canonical href='/e'>""", """<link rel=alternate canonical href=/f>""",
+    """<link rel="canonical"><a href=/no>""", """<linkrel=canonical href=/no2>""", """<link rel="non-canonical" href="/g">""",
+    """<meta http-equiv='Refresh' content='5;URL= "/h"'>""", """<meta http-equiv=refresh content="1; url=/i;x">""",
+    """<meta name=x content="http-equiv=refresh url=/j">""", """<link rel=x <b rel=canonical href=/k>""",
+    """<link\nrel="a\ncanonical"\nhref="/l">""", """<link rel="" canonical href=/m>""", """<link rel=canonicals href=/n>""",
+]
+
+
+def test_links_of_odd_tags_equal_sql(spark, tmp_path):
+    pages = [(i, f"http://p{i}.example.com/x/y?q#f", f"<p>{tag}</p>") for i, tag in enumerate(TAGS)]
+    pages += [(100, "http://bad.net/l", ""), (101, "http://q.example.com/", f"{TAGS[0]}{TAGS[9]}{TAGS[1]}")]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    table.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    rules = URL_RULES
+    connection = connect(SMALL)
+    connection.execute(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert spark_rows(urls.judge(table, rules, ["page_id"])) == sql_rows(connection, ORACLES["op2_urls"])
+    assert urls.links(table).count() > 8
+
+
 def test_host_path_and_rule_of_every_page(spark):
     truth = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     rows = QUERIES["op2_urls"](spark, SMALL).collect()
@@ -238,6 +325,33 @@ def test_shingle_sets_are_exact():
     assert counts.tolist() == [len(plain.shingles(t, 2)) for t in texts]
 
 
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_cancel_in_polynomial_hashes_stay_apart(make_documents):
+    one, two = thue_morse(1024, "ab"), thue_morse(1024, "ba")
+    rows = [(1, one, "en"), (2, two, "en"), (3, f"{one} {two}", "en"), (4, f"{two} {one}", "en"), (5, one, "en")]
+    got = {r["id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.cluster(make_documents(rows), size=2).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 2, True), 3: (1, 3, True), 4: (1, 4, True), 5: (1, 1, False)}
+
+
+def test_word_hashes_tell_words_apart():
+    words = [f"w{i}" for i in range(50_000)] + ["a" * n for n in range(1, 300)] + [thue_morse(512, x) for x in ("ab", "ba")]
+    data, offsets = batches.utf8(pa.array([" ".join(words), " ".join(reversed(words))]))
+    found = hashing.Words(data, offsets, hashing.NOT_SPACE).mixed_hashes()
+    assert len(found) == 2 * len(words) == 2 * len(set(found.tolist()))
+    assert (found[: len(words)] == found[len(words) :][::-1]).all()
+
+
+def test_equal_sets_in_another_order_are_linked(make_documents):
+    words = [f"w{i}" for i in range(30)]
+    rows = [(7, " ".join([*words, *words[:5]]), "en"), (9, " ".join([*words[3:], *words[:6]]), "en"), (8, " ".join(words * 2), "en")]
+    expected = plain.near_duplicates([(i, t) for i, t, _ in rows], 2)
+    got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in minhash.cluster(make_documents(rows), size=2).collect()}
+    assert got == expected and {c for _, c in got.values()} == {7}
+
+
 @pytest.mark.parametrize("size", [2, 5])
 def test_near_duplicates_equal_all_pairs(spark, size):
     texts = documents_of(spark)

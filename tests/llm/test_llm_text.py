@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import random
+import unicodedata
 import math
 
 import numpy as np
@@ -55,10 +57,35 @@ def test_tokens_equal_the_librarys(text):
 
 def test_long_words_take_the_heap_and_give_the_same():
     rank = PIECES.bpe
-    for word in ("ab" * 500, "banana" * 30, "x" * 65, "thethethe" * 20):
-        parts = [rank.inner[b] for b in word.encode()[:-1]] + [rank.last[word.encode()[-1]]]
-        assert rank.merge_long(list(parts)) == rank.merge_short(list(parts))
-        assert rank.word(word) == LIBRARY.encode(word, add_special_tokens=False).ids
+    words = ["ab" * 500, "banana" * 30, "x" * 65, "thethethe" * 20, "a", "of", "é" * 33]
+    for word, tokens in zip(words, rank.words(words)):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        parts = np.append(rank.inner[raw[:-1]], rank.last[raw[-1]])
+        assert rank.merge_long(parts.tolist()) == rank.merge_short(parts[None])[0] == tokens
+        assert tokens == LIBRARY.encode(word, add_special_tokens=False).ids
+    assert rank.words([]) == []
+
+
+def test_every_assigned_code_point_is_split_as_the_library_splits_it():
+    points = [c for c in range(1, 0x30000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    for at in range(0, len(points), 20_000):
+        texts = [f"a{chr(c)}b{chr(c)}1" for c in points[at : at + 20_000]]
+        ids, ends = PIECES.encode_all(texts)
+        for text, found, a, b in zip(texts, LIBRARY.encode_batch(texts, add_special_tokens=False), ends, ends[1:]):
+            assert found.ids == ids[a:b].tolist(), text
+
+
+def test_tables_that_are_full_change_nothing(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcde'1é", k=rng.randint(1, 9))) for _ in range(60)) for _ in range(20)]
+    expected = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(bpe, "TABLE_SIZE", 50)
+    monkeypatch.setattr(bpe, "MERGED_WORDS", 7)
+    pieces = bpe._Pieces(PIECES.bpe)
+    for _ in range(2):
+        ids, ends = pieces.encode_all([*texts, "", "x"])
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [*expected, [], pieces.encode("x").tolist()]
+    assert len(pieces) == len(pieces.words) == 50
 
 
 def test_long_text_is_cut_at_white_space(monkeypatch):
@@ -89,6 +116,8 @@ def test_tokens_of_odd_rows(make_documents, edges):
     assert sorted(r["token_ids"] for r in found) == sorted(expected)
     assert found[0].asDict().keys() == {"doc_id", "score", "token_ids", "decoded"}
     assert bpe.encode(make_documents([]), PATH, ["doc_id"]).count() == 0
+    both = bpe.round_trip(make_documents(edges), PATH, ["doc_id", "score"]).collect()
+    assert sorted(map(tuple, both), key=str) == sorted(map(tuple, found), key=str)
 
 
 # --- language
@@ -156,6 +185,19 @@ def test_clean_texts_stay_where_nothing_is_labelled(spark, make_documents, edges
     assert sorted(r["text"] for r in kept.collect()) == lettered and len(lettered) == 8
 
 
+def test_null_languages_are_filled_and_known_ones_stay(make_documents):
+    english = "the cat sat on the mat while it was raining over the hills and the old town by the river "
+    german = "der hund lag vor der tuer des alten hauses und wartete auf den abend der langsam kam "
+    rows = [(i, english[i:] * 4, "en") for i in range(20)] + [(100 + i, german[i:] * 4, "de") for i in range(20)]
+    model = language.fit(make_documents(rows))
+    asked = make_documents([(1, english * 9, None), (2, german * 9, None), (3, german * 9, "en"), (4, "12", None), (5, "der", None)])
+    kept = {r["doc_id"]: r["lang"] for r in language.keep_identified(asked, model).collect()}
+    assert kept == {1: "en", 2: "de", 3: "en", 5: kept[5]} and kept[5] in ("de", "en")
+    # A long text that the model finds in no language for sure goes; a short one stays.
+    unsure = language.Model(["a", "b", "c"], model.log_prior[[0, 0, 0]], model.log_probability[:, [0, 0, 0]])
+    assert {r["doc_id"] for r in language.keep_identified(asked, unsure).collect()} == {5}
+
+
 def test_language_of_held_out_rows(spark):
     found = QUERIES["op1_language"](spark, "/root/testdata/sf0.01")
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 # Rows and bytes in one Arrow batch, and bytes of text that one numpy step works on. A text
 # longer than a step is its own step.
 BATCH_ROWS = 1024
-BATCH_BYTES = 8 << 20
-STEP_BYTES = 2 << 20
+BATCH_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def bound_batches(df: DataFrame) -> DataFrame:
@@ -77,26 +77,23 @@ def map_texts(
     """The ``keep`` columns of every row, and after them what ``compute`` makes of its text.
 
     Columns are passed by place, so names in ``df`` may equal the new ones as long as the
-    caller does not keep both.
+    caller does not keep both. A text that is kept is sent to Python once and handed back as it came.
     """
     kept = bound_batches(df).select(*[F.col(f"`{c}`") for c in keep])
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("text_"))
+    if text in keep and isinstance(df.schema[text].dataType, T.StringType):
+        source, place = kept, keep.index(text)
+    else:
+        source, place = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("text_")), len(keep)
     schema = T.StructType([*kept.schema.fields, *fields])
     names = [f.name for f in schema.fields]
-    place = len(keep)
+    count = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for step in steps(batch, place):
                 made = compute(step.column(place))
-                yield pa.RecordBatch.from_arrays([*step.columns[:place], *made], names=names)
+                yield pa.RecordBatch.from_arrays([*step.columns[:count], *made], names=names)
+        # Workers live on: what the task has freed goes back to the system.
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
-
-
-def fresh(df: DataFrame, name: str) -> str:
-    """``name``, with underscores added until no column of ``df`` is called so."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name

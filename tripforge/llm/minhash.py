@@ -255,19 +255,26 @@ def _cross_links(
     """Those of the pairs whose sets, from the texts, are similar; written.
 
     The texts of a group's classes meet in its task, a block of hosts and one of outsiders at most, so pairs are
-    compared there and only links become rows.
+    compared there and only links become rows. Whole sets of hashes, eight bytes a shingle, tell which pairs are worth
+    building the sets of words for, two at a time.
     """
     named = pairs.join(classes.select("class", "row"), "class").join(texts.select("row", "text"), "row")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        sets = {c: _shingles(t, size) for c, t in zip(group["class"], group["text"])}
-        lists = dict(zip(group["class"], group["partners"]))
-        links = [
-            (min(a, b), max(a, b))
-            for a, partners in lists.items()
-            for b in partners
-            if _alike(sets[a], sets[b], threshold)
-        ]
+        values, counts = shingle_sets(pa.array(group["text"], pa.string()), size)
+        hashed = dict(zip(group["class"], np.split(values, np.cumsum(counts)[:-1])))
+        words = dict(zip(group["class"], group["text"]))
+        links = []
+        for a, partners in zip(group["class"], group["partners"]):
+            own = None
+            for b in partners:
+                # Two more than are common: hashes that collide lose no pair.
+                common = len(np.intersect1d(hashed[a], hashed[b], assume_unique=True)) + 2
+                if common * threshold.denominator < (len(hashed[a]) + len(hashed[b]) - common) * threshold.numerator:
+                    continue
+                own = own or _shingles(words[a], size)
+                if _alike(own, _shingles(words[b], size), threshold):
+                    links.append((min(a, b), max(a, b)))
         return pd.DataFrame(links, columns=["a", "b"])
 
     held = bound_batches(named).select(*_GROUP, "class", "partners", "text").groupBy(*_GROUP)
