@@ -129,21 +129,32 @@ def _in_others(quoted: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def _verified(candidates: DataFrame, messages: DataFrame) -> DataFrame:
-    """The candidates whose original has the passage in its own text."""
-    pairs = candidates.select("key", "passage", "to_conv", "to_turn").distinct()
+    """The candidates whose original has the passage in its own text.
+
+    What is asked of an original is gathered first, so its text is parsed once; passages that met one of its own are at
+    most as many as it has.
+    """
+    pairs = candidates.select("to_conv", "to_turn", "key", "passage").distinct()
+    asked = pairs.groupBy("to_conv", "to_turn").agg(F.collect_list(F.struct("key", "passage")).alias("asked"))
     texts = messages.select(F.col("conv").alias("to_conv"), F.col("turn").alias("to_turn"), "text")
-    compared = bound_batches(pairs.join(texts, ["to_conv", "to_turn"])).select(*pairs.columns, "text")
+    compared = bound_batches(asked.join(texts, ["to_conv", "to_turn"])).select("to_conv", "to_turn", "asked", "text")
+    names = pairs.columns
 
     def run(batches):
         for batch in batches:
-            told = [
-                p in passages(parse(t or "")[0])
-                for p, t in zip(batch.column("passage").to_pylist(), batch.column("text").to_pylist())
-            ]
-            yield batch.select(["key", "passage", "to_conv", "to_turn"]).filter(pa.array(told, pa.bool_()))
+            place, keys, found = [], [], []
+            for row, (asked_of, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("asked", "text")))):
+                own = set(passages(parse(text or "")[0]))
+                for one in asked_of:
+                    if one["passage"] in own:
+                        place.append(row)
+                        keys.append(one["key"])
+                        found.append(one["passage"])
+            of = batch.select(["to_conv", "to_turn"]).take(pa.array(place, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*of.columns, pa.array(keys, pa.binary()), pa.array(found, pa.string())], names=names)
 
     true = stage(compared.mapInArrow(run, pairs.schema).distinct(), "verified-originals")
-    return candidates.join(true, pairs.columns, "left_semi")
+    return candidates.join(true, names, "left_semi")
 
 
 def links(messages: DataFrame) -> DataFrame | None:
