@@ -6,8 +6,9 @@ hashes, and looks it up; a hit counts only when the words themselves agree. Ever
 inside an occurring window is hit.
 
 The benchmark is cut into blocks of at most ``BLOCK_BYTES`` of text (or one item), by a check of its size. A
-benchmark of one block is broadcast and looked up in one pass over the documents. A larger one takes a pass for
-each block, written before the next, so it costs more passes and never more memory. No document is shuffled.
+benchmark of one block is broadcast and looked up in one pass over the documents, none of which is shuffled. A larger
+one takes a pass over the texts for each block, of which only the hits are written, by the text's digest; a last pass counts
+words and joins the hits to their documents. So it costs more passes and never more memory.
 
 Defined results: a null or word-less text has no words, no hit and is not contaminated; an item that
 is null or without words has no window; repeated items and equal items each count as an item, repeated
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import types as T
 
 from tripforge.llm.batches import bound_batches, map_texts, utf8
 from tripforge.llm.hashing import ALNUM, Words, between, lower_ascii, mix, prefix_hashes
-from tripforge.staging import stage
+from tripforge.staging import broadcast_if_small, stage
 
 WINDOW_WORDS = 13
 #: A document is contaminated if it has a hit and at least one in so many of its words is hit.
@@ -143,29 +145,38 @@ def find_hits(
         return compute
 
     kept = [f"k{i}" for i in range(len(keep))]
-    scanned = documents.select(
-        *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept)],
-        F.col(f"`{text}`").cast("string").alias("text"),
-        F.array().cast("array<array<bigint>>").alias("hit_spans"),
-        F.array().cast("array<string>").alias("item_ids"),
-    )
+    own = F.col(f"`{text}`").cast("string")
+    source = documents.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept)], own.alias("text"))
     blocks = _blocks(benchmark, item_id, item_text, window_words, block_bytes)
-    block = next(blocks)
-    while block is not None:
-        following = next(blocks, None)
-        carried = [*kept, "hit_spans", "item_ids", *(["text"] if following is not None else [])]
-        found = map_texts(scanned, carried, "text", fields, lookup(block))
-        scanned = found.withColumns(
-            {
-                "hit_spans": F.array_sort(F.concat("hit_spans", "new_spans")),
-                "item_ids": F.array_sort(F.array_distinct(F.concat("item_ids", "new_items"))),
-            }
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        found = map_texts(source, kept, "text", fields, lookup(first))
+        spans, items = F.col("new_spans"), F.col("new_items")
+    else:
+        digest = F.unhex(F.md5("text"))
+        hits = None
+        for block in chain((first, second), blocks):
+            some = map_texts(source.withColumn("digest", digest), ["digest"], "text", fields, lookup(block))
+            some = some.where(F.size("new_spans") > 0).drop("n_words").dropDuplicates(["digest"])
+            hits = stage(some, "hits") if hits is None else hits.union(stage(some, "hits"))
+        # A text has one row a block at most.
+        both = {c: F.flatten(F.collect_list(c)).alias(c) for c in ("new_spans", "new_items")}
+        hits = stage(hits.groupBy("digest").agg(*both.values()), "all-hits")
+        counted = map_texts(
+            source.withColumn("digest", digest),
+            [*kept, "digest"],
+            "text",
+            fields[:1],
+            lambda texts: [pa.array(_words(texts).counts, pa.int64())],
         )
-        if following is not None:
-            scanned = stage(scanned.drop("n_words", "new_spans", "new_items"), "hits")
-        block = following
-    return scanned.select(
-        *[F.col(k).alias(c) for c, k in zip(keep, kept)], "n_words", "hit_spans", "item_ids"
+        found = counted.join(broadcast_if_small(hits), "digest", "left")
+        spans = F.coalesce("new_spans", F.array().cast(fields[1].dataType))
+        items = F.coalesce("new_items", F.array().cast(fields[2].dataType))
+    return found.select(
+        *[F.col(k).alias(c) for c, k in zip(keep, kept)],
+        "n_words",
+        F.array_sort(spans).alias("hit_spans"),
+        F.array_sort(F.array_distinct(items)).alias("item_ids"),
     )
 
 
