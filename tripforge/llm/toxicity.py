@@ -9,9 +9,10 @@ the marginals' sum and maximum and of the text's length is the document's score.
 Labelled tokens: only documents carry labels, so a token counts as toxic in training if its document is
 labelled toxic and one of its features is far commoner in toxic documents than in clean ones.
 
-The model is fitted on at most about ``TRAIN_ROWS`` labelled rows (the field itself on ``FIELD_ROWS`` of them),
-chosen by a hash of the id; rows of over ``TRAIN_BYTES`` bytes are not learned from. Its size does not
-depend on the table. Scoring reads whole texts and shuffles nothing. A text is cut into blocks whose transfer
+The model is fitted on at most about ``TRAIN_ROWS`` labelled rows, chosen by a hash of the id: Spark counts the
+features of their whole texts and, once the field is fitted, gathers what the score sees of each. The field itself
+is fitted by the driver on whole texts of up to ``FIELD_ROWS`` of these rows, as many in the order of the hash as hold
+``FIELD_BYTES`` in all. The model's size does not depend on the table. Scoring reads whole texts and shuffles nothing. A text is cut into blocks whose transfer
 matrices are multiplied first, so forward-backward over a long text is exact and takes few numpy calls.
 
 Defined results: a null or empty text has no token, no span, and the score that the model gives to no
@@ -25,6 +26,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ from tripforge.staging import stage
 
 TRAIN_ROWS = 20_000
 FIELD_ROWS = 2_000
-TRAIN_BYTES = 64 << 10
+FIELD_BYTES = 8 << 20
 #: A feature is weighed if so many toxic documents have it, and a sign of toxicity if its odds of
 #: being in a toxic document are so many times those of being in a clean one.
 LEAST_DOCUMENTS = 5
@@ -285,7 +287,7 @@ def fit(
     # About train_rows rows of three numbers, whatever the table: fit for a broadcast.
     sample = stage(
         documents.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-        .where(F.octet_length("text") <= TRAIN_BYTES)
+        .where("text IS NOT NULL")
         .join(F.broadcast(chosen), "id"),
         "toxicity-sample",
     )
@@ -307,7 +309,7 @@ def fit(
     order = np.argsort(features[weighed])
     model.weights = np.log(odds[weighed])[order] / 2  # where the climb starts
 
-    rows = sample.where(F.col("place") < share * field_rows // max(total, 1)).select("label", "text").toPandas()
+    rows = _field_sample(sample, field_rows)
     # Token by token for some rows at a time: the bytes' hashes are larger than the texts.
     pieces = [_tokens(pa.array(rows["text"][k : k + 100], pa.string())) for k in range(0, len(rows), 100)]
     feats = np.concatenate([p[1] for p in pieces])
@@ -318,12 +320,36 @@ def fit(
     told[at // feats.shape[1]] = True
     told &= np.repeat(marks, counts) == 1
     _fit_field(model, feats, counts, told)
-    found = [model.marginals(feats[tokens], counts[texts]) for texts, tokens in _chunks(counts)]
-    seen = evidence(np.concatenate(found), counts)
-    model.logistic = _fit_logistic(seen, marks.astype(float))
+    seen = _seen(sample, model).toPandas()
+    model.logistic = _fit_logistic(seen[["c0", "c1", "c2", "c3"]].to_numpy(), seen["label"].to_numpy(float))
     return model
 
 
+def _field_sample(sample: DataFrame, field_rows: int) -> pd.DataFrame:
+    """Label and text of the rows that the field is fitted on; ids and sizes are looked at first."""
+    sized = sample.select("place", "id", F.octet_length("text").cast("long").alias("bytes"))
+    first = sized.orderBy("place", "id", "bytes").limit(field_rows).toPandas()
+    inside = first[first["bytes"].cumsum() <= FIELD_BYTES]
+    # The first row is taken whatever its size; later ones end where the budget does.
+    last = (inside if len(inside) else first.head(1)).iloc[-1]
+    kinds = sized.schema
+    limit = [F.lit(getattr(last[c], "item", lambda c=c: last[c])()).cast(kinds[c].dataType).alias(c) for c in kinds.names]
+    within = F.struct("place", "id", F.octet_length("text").cast("long").alias("bytes")) <= F.struct(*limit)
+    return sample.where(within).select("label", "text").toPandas()
+
+
+def _seen(sample: DataFrame, model: Model) -> DataFrame:
+    """Label and evidence, as c0 to c3, of every row of the sample."""
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        words, features, _ = _tokens(texts)
+        return [pa.array(c) for c in evidence(shared.value.marginals(features, words.counts), words.counts).T]
+
+    fields = [T.StructField(f"c{i}", T.DoubleType()) for i in range(4)]
+    return map_texts(sample, ["label"], "text", fields, compute)
+
+
 def score(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The ``keep`` columns of every row with score and spans.
 
