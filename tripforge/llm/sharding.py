@@ -87,33 +87,47 @@ def _descend(key: Column, level: str, parent: Column, leaves: list[Leaf]) -> Col
     return F.array_min(drawn)["c"]
 
 
+def _fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def place(df: DataFrame, key: str, leaves: list[Leaf], name: str) -> DataFrame:
     """``df`` with the column ``name``: the shard that each key descends to."""
     text = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(_NULL_KEY))
-    regions = df.withColumn("region_", _descend(text, "region", F.lit(""), leaves))
-    racks = regions.withColumn("rack_", _descend(text, "rack", F.col("region_"), leaves))
-    shards = racks.withColumn(name, _descend(text, "shard", F.col("rack_"), leaves).cast("int"))
-    return shards.drop("region_", "rack_")
+    region, rack = _fresh(df, "region_"), _fresh(df, "rack_")
+    regions = df.withColumn(region, _descend(text, "region", F.lit(""), leaves))
+    racks = regions.withColumn(rack, _descend(text, "rack", F.col(region), leaves))
+    shards = racks.withColumn(name, _descend(text, "shard", F.col(rack), leaves).cast("int"))
+    return shards.drop(region, rack)
 
 
 def with_slots(df: DataFrame, shard: str, order: list[str], slot: str = "slot") -> DataFrame:
     """``df`` with the gapless number, from 0, of each row among those of its shard."""
+    at, in_range, first, rows, before = (_fresh(df, c) for c in ("place_", "range_", "first_", "rows_", "before_"))
+    # The salt splits rows that are equal in all of the order, which no range of it could.
+    salt = _fresh(df, "salt_")
+    dealt = df.withColumn(salt, F.floor(F.rand(seed=1) * (1 << 20)))
     placed = stage(
-        df.repartitionByRange(shard, *order)
-        .sortWithinPartitions(shard, *order)
-        .withColumn("place_", F.monotonically_increasing_id()),
+        dealt.repartitionByRange(shard, *order, salt)
+        .sortWithinPartitions(shard, *order, salt)
+        .drop(salt)
+        .withColumn(at, F.monotonically_increasing_id()),
         "slots",
-    ).withColumn("range_", F.shiftright("place_", _ROW_BITS))
-    earlier = Window.partitionBy(shard).orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    ).withColumn(in_range, F.shiftright(at, _ROW_BITS))
+    earlier = Window.partitionBy(shard).orderBy(in_range).rowsBetween(Window.unboundedPreceding, -1)
     # A row for each range and each shard that begins in one: ranges + shards rows at most.
     offsets = stage(
-        placed.groupBy("range_", shard)
-        .agg(F.min("place_").alias("first_"), F.count(F.lit(1)).alias("rows_"))
-        .select("range_", shard, "first_", F.coalesce(F.sum("rows_").over(earlier), F.lit(0)).alias("before_")),
+        placed.groupBy(in_range, shard)
+        .agg(F.min(at).alias(first), F.count(F.lit(1)).alias(rows))
+        .select(in_range, shard, first, F.coalesce(F.sum(rows).over(earlier), F.lit(0)).alias(before)),
         "slot-offsets",
     )
-    return placed.join(F.broadcast(offsets), ["range_", shard]).select(
-        *df.columns, (F.col("place_") - F.col("first_") + F.col("before_")).alias(slot)
+    return placed.join(F.broadcast(offsets), [in_range, shard]).select(
+        *df.columns, (F.col(at) - F.col(first) + F.col(before)).alias(slot)
     )
 
 
