@@ -18,11 +18,11 @@ BATCH_BYTES = 2 << 20
 STEP_BYTES = 1 << 20
 
 
-def bound_batches(df: DataFrame) -> DataFrame:
+def bound_batches(df: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Keep the session's Arrow batches small: worker memory follows them, not the table."""
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     return df
 
 

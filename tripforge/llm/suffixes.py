@@ -47,6 +47,8 @@ from tripforge.staging import stage
 LENGTH, GRAM = 100, 32
 SAMPLE_ROWS, HOT_SHARE = 20_000, 0.01
 STEP = 1 << 20
+#: Bytes of an Arrow batch: several steps, so that few of them are cut short.
+BATCH = 8 << 20
 
 _U = np.uint64
 _LAST_ID = (1 << 63) - 1
@@ -397,7 +399,7 @@ def _hot_anchors(documents: DataFrame) -> np.ndarray:
                 found, n = np.unique(pairs[:, 0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["anchor", "n"])
 
-    counts = bound_batches(sample).select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    counts = bound_batches(sample, BATCH).select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     least = max(20, int(min(total, SAMPLE_ROWS) * HOT_SHARE))
     return counts.where(F.col("n") >= least).select("anchor").toPandas()["anchor"].to_numpy(np.int64).view(np.uint64)
 
@@ -415,7 +417,7 @@ def find_repeats(documents: DataFrame) -> DataFrame:
                 rows = _segments_of(*(step.column(i).to_numpy() for i in (0, 1)), step.column(2), hot.value)
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in rows.values()], names=list(rows))
 
-    rows = bound_batches(documents).mapInArrow(segments, _ROWS)
+    rows = bound_batches(documents, BATCH).mapInArrow(segments, _ROWS)
     with dropping_shuffles(documents.sparkSession):
         resolved = stage(rows.repartition("route").mapInArrow(_resolve, _SPANS), "repeats")
     asked = resolved.where("asked").groupBy("id", "tie").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
@@ -463,7 +465,7 @@ def cut(
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made, *batch.columns[4:]], names=schema.names)
 
-    joined = bound_batches(documents).join(gone, ["id", "tie"], "left")
+    joined = bound_batches(documents, BATCH).join(gone, ["id", "tie"], "left")
     carried = ["carried"] if keep else []
     schema = T.StructType(
         [
