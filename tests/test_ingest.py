@@ -231,3 +231,10 @@ def test_arguments():
     args = parser().parse_args(["load", "--input", "in", "--dataset", "d"])
     assert (args.months, args.year, args.color, args.table_name) == ([1, 2], 2021, "yellow", "rides")
     assert parser().parse_args(["clean", "--dataset", "d"]).input_table == "yellow_trips_data"
+
+
+def test_files_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tripforge.sinks.files.FILE_BYTES", 1600)
+    write_parquet(spark.range(1000), str(tmp_path / "out"), files=4)
+    assert len(glob.glob(str(tmp_path / "out/*.parquet"))) == 10
+    assert read_parquet(spark, str(tmp_path / "out")).distinct().count() == 1000

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from tripforge.sources.tables import TableStore
 from tripforge.sources.topics import TOPIC_FORMAT
+from tripforge.staging import byte_size
+
+#: Bytes of rows, as :func:`byte_size` counts them, that one task writes to a file.
+FILE_BYTES = 256 << 20
 
 
 def write_parquet(
@@ -16,8 +20,13 @@ def write_parquet(
     mode: str = "errorifexists",
     compression: str | None = None,
 ) -> None:
-    """Parquet in ``files`` equal files (round robin, so no key can fill one of them)."""
-    writer = (df.repartition(files) if files else df).write.mode(mode)
+    """Parquet in ``files`` equal files (round robin, so no key can fill one of them).
+
+    There are more files if one would hold more than ``FILE_BYTES`` of rows, as a task writes each of them.
+    """
+    if files:
+        df = df.repartition(max(files, -(-byte_size(df) // FILE_BYTES)))
+    writer = df.write.mode(mode)
     if compression:
         writer = writer.option("compression", compression)
     writer.parquet(path)
