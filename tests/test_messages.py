@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tripforge import schemas
 from tripforge.functions.codes import tip_band
-from tripforge.functions.text import whole_number, yes_no
+from tripforge.functions.text import parse_timestamp, real_number, whole_number, yes_no
 from tripforge.operators.messages import (
     count_messages,
     first_messages,
@@ -154,3 +154,28 @@ def test_repair_touches_only_present_columns(spark):
         "dropOff_datetime": None,
         "PULocationID": 5,
     }
+
+
+ODD_TEXTS = [
+    "3", "3.0", " 3 ", "\t3.0\n", "3.7", "x", "", None, "1e3", "1.5E1", "+5", "-5.0", "9223372036854775808", "5L",
+    "99999999999999999999.0", "1.0d", "0x10", "NaN", " -Infinity", "+inf", "nAn", ".5", "5.", "\u0663", "3\u00a0", "green",
+    "2021-01-05 10:00:00", "2021-01-05 10:00:00.5", " 2021-01-05 10:00:00 ", "2021-1-5 1:2:3", "+12345-01-01 00:00:00",
+    "12345-01-01 00:00:00", "2021-02-30 10:00:00", "2021-01-05 24:00:00", "2021-01-05T10:00:00Z", "2021", "n", "I",
+]
+
+
+def test_texts_are_cast_only_where_they_may_fit(spark):
+    """The guards change no value, and every cast that throws on a misfit is behind one."""
+    v = F.col("v")
+    number = v.try_cast("decimal(38,10)")
+    plain = {
+        whole_number: F.coalesce(v.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint"))),
+        parse_timestamp: F.coalesce(F.try_to_timestamp(v, F.lit(schemas.TIMESTAMP_FORMAT)), v.try_cast("timestamp")),
+        real_number: v.try_cast("double"),
+    }
+    df = spark.createDataFrame([(t,) for t in ODD_TEXTS], "v string")
+    for guarded, expected in plain.items():
+        both = df.select(guarded(v).cast("string"), expected.cast("string")).collect()
+        assert [r[0] for r in both] == [r[1] for r in both]
+        plan = df.select(guarded(v))._jdf.queryExecution().analyzed().toString().lower()
+        assert "rlike" in plan and "case when" in plan

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripforge.functions.text import parse_timestamp, whole_number
+from tripforge.functions.text import parse_timestamp, real_number, whole_number
 
 NOTHING, WHOLE, NUMBER, TIME, TEXT = "nothing", "whole", "number", "time", "text"
 
@@ -39,8 +39,8 @@ def _fits(value: Column) -> dict[str, Column]:
     """For each kind above nothing, whether a text is a value of it."""
     return {
         WHOLE: F.rlike(value, F.lit(r"^\s*[+-]?\d{1,18}\s*$")),
-        NUMBER: value.try_cast("double").isNotNull(),
-        TIME: parse_timestamp(value).isNotNull() & value.try_cast("double").isNull(),
+        NUMBER: real_number(value).isNotNull(),
+        TIME: parse_timestamp(value).isNotNull() & real_number(value).isNull(),
     }
 
 
@@ -89,7 +89,7 @@ def typed(value: Column, kind: str) -> Column:
     if kind == TIME:
         return parse_timestamp(F.trim(value))
     if kind == NUMBER:
-        return F.trim(value).try_cast("double")
+        return real_number(F.trim(value))
     return value.cast("string")
 
 
