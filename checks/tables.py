@@ -41,6 +41,8 @@ from tripforge.sources.tables import TableStore
 from tripforge.staging import staging_path
 
 _BOTH = (schemas.GREEN, schemas.YELLOW)
+# Raw files are read once or twice: the lowest level of gzip writes them in half the time.
+_CSV_FILES = {"header": True, "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def _csv(spark: SparkSession, sf_dir: str, service: str, by_month: bool = False) -> str:
@@ -52,7 +54,7 @@ def _csv(spark: SparkSession, sf_dir: str, service: str, by_month: bool = False)
         raw = raw.withColumns(
             {"year": F.date_format(pickup, "yyyy"), "month": F.date_format(pickup, "MM")}
         ).hint("rebalance", "year", "month")
-    writer = raw.write.option("header", True).option("compression", "gzip")
+    writer = raw.write.options(**_CSV_FILES)
     writer = writer.option("timestampNTZFormat", schemas.TIMESTAMP_FORMAT)
     (writer.partitionBy("year", "month") if by_month else writer).csv(path)
     return path
@@ -229,7 +231,7 @@ def _write_months(spark: SparkSession, sf_dir: str, service: str, base: str) ->
     odd = F.month(schemas.SERVICE_TIMES[service][0]) % 2 == 1
     for month, rows in ((1, text.where(odd)), (2, text.where(~odd).select(*reversed(text.columns)))):
         (path,) = month_paths(base, service, 2021, [month], "csv.gz")
-        rows.write.option("header", True).option("compression", "gzip").csv(path)
+        rows.write.options(**_CSV_FILES).csv(path)
 
 
 @check(
@@ -301,7 +303,7 @@ def _even(df: DataFrame) -> DataFrame:
 
 def _raw_month(df: DataFrame, base: str, service: str, month: int) -> None:
     (path,) = month_paths(base, service, 2021, [month], "csv.gz")
-    df.write.option("header", True).option("compression", "gzip").csv(path)
+    df.write.options(**_CSV_FILES).csv(path)
 
 
 @check(

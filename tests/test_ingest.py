@@ -238,3 +238,23 @@ def test_files_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
     write_parquet(spark.range(1000), str(tmp_path / "out"), files=4)
     assert len(glob.glob(str(tmp_path / "out/*.parquet"))) == 10
     assert read_parquet(spark, str(tmp_path / "out")).distinct().count() == 1000
+
+
+def test_place_of_a_month_is_sought_in_its_last_names(spark, write_csv, tmp_path):
+    write_csv("1999/12/raw/year=2020/month=03/part.csv.gz", LINE)
+    base = str(tmp_path / "1999/12/raw")
+    months = read_months(spark, base, schemas.YELLOW_SCHEMA, [2020], prefixes=("year=", "month="))
+    assert [tuple(r) for r in months.select("file_year", "file_month").collect()] == [(2020, 3)]
+    assert "substring_index" in months._jdf.queryExecution().toString()
+
+
+def test_raw_files_of_the_checks_are_lightly_packed(spark, tmp_path):
+    from checks.tables import _CSV_FILES
+
+    rows = spark.range(0, 5000, 1, 1).selectExpr("id", "hash(id) AS x", "id % 7 AS y")
+    rows.write.options(**_CSV_FILES).csv(str(tmp_path / "light"))
+    rows.write.options(header=True, compression="gzip").csv(str(tmp_path / "usual"))
+    light, usual = (glob.glob(str(tmp_path / f"{n}/*.csv.gz")) for n in ("light", "usual"))
+    assert len(light) == len(usual) == 1
+    assert gzip.open(light[0]).read() == gzip.open(usual[0]).read()
+    assert os.path.getsize(light[0]) > os.path.getsize(usual[0])

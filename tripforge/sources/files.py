@@ -64,7 +64,8 @@ def read_months(
     A month without files is skipped and later months are still read.
     """
     raw = read_csv(spark, months_glob(base, years, months, prefixes), schema)
-    path = F.col("_metadata.file_path")
+    # The place is in the last three names; the search need not go over those before them on every row.
+    path = F.substring_index("_metadata.file_path", "/", -3)
     place = r"(\d{4})/[^/\d]*(\d{2})/[^/]*$"
     return raw.select(
         "*",
