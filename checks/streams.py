@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.batch import counted
@@ -87,13 +87,22 @@ def _flat_window(counts: DataFrame) -> DataFrame:
     )
 
 
+def _cents(value: Column) -> Column:
+    """``round(value, 2)`` of a double. Decimal arithmetic is for those near the middle of two cents, and for large ones."""
+    cents = value * 100
+    part = F.abs(cents) - F.floor(F.abs(cents))
+    clear = (F.abs(value) < 1e9) & (F.abs(part - 0.5) > 1e-3)
+    # Zero is added for the sign: a negative amount may round to zero.
+    return F.when(clear, F.rint(cents) / 100 + 0.0).otherwise(F.round(value, 2))
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     """Amounts to cents as doubles and times without zone, for comparison."""
     fixes = {}
     for field in df.schema:
         kind = field.dataType.typeName()
         if kind in ("float", "decimal"):
-            fixes[field.name] = F.round(F.col(field.name).cast("double"), 2)
+            fixes[field.name] = _cents(F.col(field.name).cast("double"))
         elif kind == "timestamp":
             fixes[field.name] = F.col(field.name).cast("timestamp_ntz")
     return df.withColumns(fixes)

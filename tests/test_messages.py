@@ -179,3 +179,14 @@ def test_texts_are_cast_only_where_they_may_fit(spark):
         assert [r[0] for r in both] == [r[1] for r in both]
         plan = df.select(guarded(v))._jdf.queryExecution().analyzed().toString().lower()
         assert "rlike" in plan and "case when" in plan
+
+
+def test_cents_are_those_of_round(spark):
+    from checks.streams import _cents
+
+    steps = spark.range(-3000, 3000).select((F.col("id") / 1000).alias("v"))
+    floats = steps.select((F.col("v") * 7.3).cast("float").cast("double"))
+    odd = spark.createDataFrame([(x,) for x in (float("nan"), float("inf"), -0.0, 1.005, -0.001, 1e300, None)], "v double")
+    df = steps.union(floats).union(odd)
+    different = ~F.round("v", 2).cast("string").eqNullSafe(_cents(F.col("v")).cast("string"))
+    assert df.where(different).count() == 0

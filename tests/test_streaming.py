@@ -417,3 +417,10 @@ def test_events_source_window_matches_batch(spark, folder):
     expected = source.groupBy(F.window("ts", "1 day"), "event_type").count()
     got = read_parquet(spark, snapshot_path(folder("out"), 0))
     assert got.exceptAll(expected).count() == expected.exceptAll(got).count() == 0
+
+
+def test_a_large_batch_is_dealt_to_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr("tripforge.streaming.batch_log.ROWS_PER_TASK", 1000)
+    rows = spark.range(0, 9500, 1, 4).select(F.expr("if(id < 5000, 1, id % 40)").alias("zone"), "id")
+    dealt = spread_by_share(rows, "zone", 2)
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.distinct().count() == 9500

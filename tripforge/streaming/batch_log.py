@@ -20,17 +20,21 @@ from tripforge.streaming.sinks import FIVE_SECONDS, writer
 
 BATCH = "batch_id"
 _RUNS = "run string, last_batch long, rows long"
+#: A task sorts its rows by partition before it writes them; so many fit its memory.
+ROWS_PER_TASK = 1_000_000
 
 
 def spread_by_share(df: DataFrame, column: str, tasks: int, rows_per_file: int = 0) -> DataFrame:
     """Rows dealt by ``column`` so that each value fills as many tasks as its share of the rows needs.
 
     A value gets one salt for each ``rows / tasks`` of its rows (or each ``rows_per_file``, if that is more), so there
-    are ``tasks`` files and one for each value at most. Values with several salts are fewer than tasks: their table
-    is broadcast. ``df`` is read twice.
+    are ``tasks`` files and one for each value at most. There are more tasks if one would get more than
+    ``ROWS_PER_TASK`` rows. Values with several salts are fewer than tasks: their table is broadcast. ``df`` is read
+    twice.
     """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows_"))
     total = counts.agg(F.sum("rows_").alias("n")).first()["n"] or 0
+    tasks = max(tasks, -(-total // ROWS_PER_TASK))
     share = max(total / tasks, rows_per_file, 1)
     hot = counts.where(F.col("rows_") > share).select(
         F.col(column).alias("hot_"), F.ceil(F.col("rows_") / share).cast("int").alias("salts_")
