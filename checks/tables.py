@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -229,9 +231,9 @@ def _write_months(spark: SparkSession, sf_dir: str, service: str, base: str) ->
     text = raw_as_typed(spark, sf_dir, service)
     text = text.withColumns({c: F.col(c).cast("string") for c in schemas.SERVICE_TIMES[service]})
     odd = F.month(schemas.SERVICE_TIMES[service][0]) % 2 == 1
-    for month, rows in ((1, text.where(odd)), (2, text.where(~odd).select(*reversed(text.columns)))):
-        (path,) = month_paths(base, service, 2021, [month], "csv.gz")
-        rows.write.options(**_CSV_FILES).csv(path)
+    months = {1: text.where(odd), 2: text.where(~odd).select(*reversed(text.columns))}
+    with ThreadPoolExecutor(len(months)) as pool:
+        list(pool.map(lambda month: _raw_month(months[month], base, service, month), months))
 
 
 @check(
@@ -239,14 +241,18 @@ def _write_months(spark: SparkSession, sf_dir: str, service: str, base: str) ->
     f"""WITH {CLEAN_SQL} SELECT {_REPAIRED_COLUMNS}, service_type FROM clean""",
 )
 def landed_then_cleaned(spark, sf_dir):
-    """Raw months of both services, landed, loaded and cleaned as the command line does."""
+    """Raw months of both services, landed and loaded side by side and cleaned as the command line does."""
     base, landed = staging_path(spark, "months"), staging_path(spark, "landed")
     store = TableStore(spark, staging_path(spark, "store"))
-    for service in (schemas.GREEN, schemas.YELLOW):
+
+    def load(service: str) -> None:
         _write_months(spark, sf_dir, service, base)
         land_months(spark, base, service, landed, 2021, [1, 2])
         paths = month_paths(landed, service, 2021, [1, 2], "parquet")
         append_months(spark, paths, store, RAW.format(service=service))
+
+    with ThreadPoolExecutor(len(_BOTH)) as pool:
+        list(pool.map(load, _BOTH))
     run_clean(store, "all")
     return _plain_times(store.read(ALL_CLEANED))
 

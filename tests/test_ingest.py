@@ -4,14 +4,16 @@ import glob
 import gzip
 import os
 import re
+from threading import Barrier
 
 import pytest
 
 from checks.fixture import raw_services
 from tripforge import schemas
 from tripforge.cli import main, parser
+from tripforge.plans import ingest
 from tripforge.plans.batch import DIMENSIONS, run_clean
-from tripforge.plans.ingest import append_months, csv_to_parquet, month_paths
+from tripforge.plans.ingest import append_months, csv_to_parquet, land_file, land_months, month_paths
 from tripforge.sinks.files import publish, replace_table, write_parquet, write_single_file
 from tripforge.sources.files import (
     external_view,
@@ -258,3 +260,57 @@ def test_raw_files_of_the_checks_are_lightly_packed(spark, tmp_path):
     assert len(light) == len(usual) == 1
     assert gzip.open(light[0]).read() == gzip.open(usual[0]).read()
     assert os.path.getsize(light[0]) > os.path.getsize(usual[0])
+
+
+def test_even_files_are_landed_without_a_shuffle(spark, write_csv, tmp_path, monkeypatch):
+    for name, lines in (("even", [20] * 8), ("uneven", [5000] + [20] * 7), ("one", [20])):
+        for i, n in enumerate(lines):
+            write_csv(f"{name}/{i}.csv.gz", *[LINE.replace(",41,", f",{k % 265},") for k in range(n)])
+        monkeypatch.setattr(ingest, "SHARE_BYTES", 0)
+        landed = str(tmp_path / f"{name}-landed")
+        land_file(spark, str(tmp_path / name), schemas.YELLOW, landed)
+        files = glob.glob(f"{landed}/*.gz.parquet")
+        assert len(files) == (8 if name == "even" else 1)
+        found = read_parquet(spark, landed).groupBy("PULocationID").count()
+        wanted = [k % 265 for n in lines for k in range(n)]
+        assert {r[0]: r[1] for r in found.collect()} == {k: wanted.count(k) for k in set(wanted)}
+    # Little data is gathered into few files, however it lies.
+    monkeypatch.undo()
+    land_file(spark, str(tmp_path / "even"), schemas.YELLOW, str(tmp_path / "little"))
+    assert len(glob.glob(str(tmp_path / "little/*.gz.parquet"))) == 1
+
+
+def test_months_are_landed_side_by_side(spark, write_csv, tmp_path, monkeypatch):
+    for month in (1, 2):
+        write_csv(f"raw/yellow/yellow_tripdata_2021-{month:02d}.csv.gz", *[LINE] * month)
+    both, land = Barrier(2), ingest._land
+    monkeypatch.setattr(ingest, "_land", lambda *args: both.wait(60) + 1 and land(*args))
+    landed = str(tmp_path / "landed")
+    assert land_months(spark, str(tmp_path / "raw"), schemas.YELLOW, landed, 2021, [1, 2, 3]) == [3]
+    paths = month_paths(landed, schemas.YELLOW, 2021, [1, 2], "parquet")
+    assert [read_parquet(spark, p).count() for p in paths] == [1, 2]
+
+
+def test_cleaned_tables_of_the_services_are_cut_side_by_side(spark, store, monkeypatch):
+    for service, rows in raw_services(spark, SF_DIR).items():
+        store.write(rows, f"{service}_trips_data")
+    both, write = Barrier(2), TableStore.write
+
+    def together(self, df, name, *args, **options):
+        if name in ("green_trips_data_cleaned", "yellow_trips_data_cleaned"):
+            both.wait(60)
+        write(self, df, name, *args, **options)
+
+    monkeypatch.setattr(TableStore, "write", together)
+    names = run_clean(store, "all")
+    counts = [store.read(name).count() for name in names]
+    assert counts[0] + counts[1] == counts[2] and min(counts) > 0
+
+
+def test_services_of_the_check_are_loaded_side_by_side(spark, monkeypatch):
+    from checks import tables
+
+    both, append = Barrier(2), tables.append_months
+    monkeypatch.setattr(tables, "append_months", lambda *args: both.wait(120) + 1 and append(*args))
+    services = tables.landed_then_cleaned(spark, SF_DIR).groupBy("service_type").count().collect()
+    assert {r[0] for r in services} == {"green", "yellow"}

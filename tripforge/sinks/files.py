@@ -19,6 +19,7 @@ def write_parquet(
     files: int | None = None,
     mode: str = "errorifexists",
     compression: str | None = None,
+    **options: str,
 ) -> None:
     """Parquet in ``files`` equal files (round robin, so no key can fill one of them).
 
@@ -26,7 +27,7 @@ def write_parquet(
     """
     if files:
         df = df.repartition(max(files, -(-byte_size(df) // FILE_BYTES)))
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).options(**options)
     if compression:
         writer = writer.option("compression", compression)
     writer.parquet(path)
