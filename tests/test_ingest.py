@@ -6,6 +6,7 @@ import os
 import re
 from threading import Barrier
 
+import pyarrow.parquet as pq
 import pytest
 
 from checks.fixture import raw_services
@@ -314,3 +315,17 @@ def test_services_of_the_check_are_loaded_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(tables, "append_months", lambda *args: both.wait(120) + 1 and append(*args))
     services = tables.landed_then_cleaned(spark, SF_DIR).groupBy("service_type").count().collect()
     assert {r[0] for r in services} == {"green", "yellow"}
+
+
+def test_times_are_stored_in_64_bits_and_older_files_read_along(spark, write_csv, tmp_path, settings):
+    early = LINE.replace("2020-03-09 07:05:00", "0001-01-02 03:04:05").replace("2020-03-09 07:21:30", "9999-12-31 23:59:59")
+    raw, landed = write_csv("a.csv.gz", LINE, early), str(tmp_path / "landed")
+    land_file(spark, raw, schemas.YELLOW, landed)
+    (file,) = glob.glob(f"{landed}/*.parquet")
+    kinds = {c.name: c.physical_type for c in pq.ParquetFile(file).schema}
+    assert kinds["tpep_pickup_datetime"] == kinds["tpep_dropoff_datetime"] == "INT64"
+    settings(spark__sql__parquet__outputTimestampType="INT96")
+    land_file(spark, raw, schemas.YELLOW, landed, mode="append")
+    times = read_parquet(spark, landed).selectExpr("string(tpep_pickup_datetime)", "string(tpep_dropoff_datetime)")
+    rows = [("0001-01-02 03:04:05", "9999-12-31 23:59:59"), ("2020-03-09 07:05:00", "2020-03-09 07:21:30")]
+    assert sorted(tuple(r) for r in times.collect()) == sorted(rows * 2)
